@@ -24,7 +24,9 @@ DAY_LABELS = ((19980515, 19980618), (20011001, 20011104))
 
 
 def snap(sql):
-    return f"floor(({sql}) * 1e4 + 0.500731e0) / 1e4"
+    """Four decimals, one for numbers from a million up, where the fourth is below precision."""
+    fine, coarse = (f"floor(({sql}) * {scale} + 0.500731e0) / {scale}" for scale in ("1e4", "1e1"))
+    return f"CASE WHEN abs({sql}) < 1e6 THEN {fine} ELSE {coarse} END"
 
 
 def day(column):
@@ -46,7 +48,7 @@ def tagged(source, name, ranges, id_name="window_id"):
         f"WHEN data_date BETWEEN {lo} AND {hi} THEN {i}" for i, (lo, hi) in enumerate(ranges)
     )
     return (
-        f"{name} AS (SELECT * FROM (SELECT *, CASE {cases} END AS {id_name} FROM {source})"
+        f"{name} AS (SELECT * FROM (SELECT *, CAST(CASE {cases} END AS BIGINT) AS {id_name} FROM {source})"
         f" WHERE {id_name} IS NOT NULL)"
     )
 
@@ -65,7 +67,7 @@ def dated(source, name):
 
 
 SALES = """sales AS (
-  SELECT CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS data_date,
+  SELECT CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS data_date,
          CAST(l_partkey // 4 AS BIGINT) AS goods_id, l_partkey AS sku_id,
          l_quantity AS goods_num, l_extendedprice / l_quantity AS goods_price,
          p_retailprice AS orginal_shop_price
@@ -81,7 +83,7 @@ INFO = """info AS (
   FROM (SELECT CAST(p_partkey // 4 AS BIGINT) AS goods_id, arg_min(p_brand, p_partkey) AS brand,
                arg_min(p_size, p_partkey) AS size FROM part GROUP BY 1))"""
 DAILY = """daily AS (
-  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS data_date, goods_id, goods_click, cart_click,
+  SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS data_date, goods_id, goods_click, cart_click,
          favorites_click, sales_uv,
          CAST(1 + date_diff('day', min(d) OVER (PARTITION BY goods_id), d) AS DOUBLE)
            AS onsale_days
@@ -492,17 +494,17 @@ FIRST_DAILY = """first_daily AS (
 # Calendars --------------------------------------------------------------------------------------
 
 MARKETING = """marketing AS (
-  SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS data_date,
+  SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS data_date,
          CAST(left(min(o_orderpriority), 1) AS BIGINT) AS marketing,
          CAST(min(month(o_orderdate)) AS BIGINT) AS plan
   FROM orders GROUP BY 1)"""
 HOLIDAY = """holiday_rows AS (
-  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS data_date, CAST(code AS BIGINT) AS holiday_code
+  SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS data_date, CAST(code AS BIGINT) AS holiday_code
   FROM (SELECT d, unnest(CASE WHEN month(d) = 5 AND day(d) = 29 THEN [9, 10]
                               WHEN day(d) <= 2 THEN [month(d)] END) AS code
         FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)))"""
 WEATHER_SQL = """weather AS (
-  SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS data_date,
+  SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS data_date,
          avg(o_totalprice / 10000) AS temp_mean, max(o_totalprice / 10000) AS temp_max,
          min(o_totalprice / 10000) AS temp_min, avg(o_custkey % 12) AS uv_index_mean,
          CAST(max(o_custkey % 12) AS BIGINT) AS uv_index_max
@@ -513,8 +515,8 @@ def skeleton():
     starts = ", ".join(f"({i}, DATE '{str(lo)[:4]}-{str(lo)[4:6]}-{str(lo)[6:]}')"
                        for i, (lo, _) in enumerate(DAY_LABELS))
     return f"""skeleton AS (
-  SELECT window_id, sku_id, goods_id,
-         CAST(strftime(start + CAST(k AS INTEGER), '%Y%m%d') AS INTEGER) AS data_date, k
+  SELECT CAST(window_id AS BIGINT) AS window_id, sku_id, goods_id,
+         CAST(strftime(start + CAST(k AS INTEGER), '%Y%m%d') AS BIGINT) AS data_date, k
   FROM relation CROSS JOIN (VALUES {starts}) AS w(window_id, start)
   CROSS JOIN (SELECT unnest(range(35)) AS k))"""
 
@@ -727,9 +729,9 @@ ORACLES = {
         SALES,
     ),
     "union_editions": statement(f"SELECT {SALES_COLUMNS} FROM sales", SALES),
-    "parse_price": "SELECT l_orderkey, l_linenumber, "
+    "parse_price": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, "
     f"{snap('l_extendedprice')} AS price FROM lineitem",
-    "parse_price_const": "SELECT l_orderkey, l_linenumber, "
+    "parse_price_const": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, "
     + snap(
         "CASE WHEN l_extendedprice < 1000 THEN l_extendedprice"
         " WHEN l_extendedprice < 10000 THEN 11.0 END"

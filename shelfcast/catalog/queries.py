@@ -62,12 +62,16 @@ SNAP = 0.500731
 
 
 def snapped(df):
-    """Snap every DOUBLE column to four decimals; integers of all widths become BIGINT."""
+    """Snap every DOUBLE column to four decimals; integers of all widths become BIGINT.
+
+    From a million up one decimal is kept, since the fourth lies below the precision of a sum.
+    """
     columns = []
     for field in df.schema.fields:
         c = F.col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            c = F.floor(c.cast("double") * 1e4 + SNAP) / 1e4
+            fine, coarse = (F.floor(c.cast("double") * s + SNAP) / s for s in (1e4, 1e1))
+            c = F.when(F.abs(c) < 1e6, fine).otherwise(coarse)
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType)):
             c = c.cast("bigint")
         columns.append(c.alias(field.name))
@@ -356,7 +360,7 @@ def weekday_sums(spark, folder):
 
 def last_week_behaviour(spark, folder):
     daily = _behaviour(spark, folder)
-    recent = daily.filter(date_index(daily, ALL).since_days(6))
+    recent = daily.filter(f"data_date >= {date_index(daily, ALL).since_days(6)}")
     return st.last_week_behaviour(recent)
 
 
@@ -382,7 +386,7 @@ def price_means_multi_key(spark, folder):
 
 def last_week_stats(spark, folder):
     sales = _sales(spark, folder)
-    recent = sales.filter(date_index(sales, ALL).since_days(6))
+    recent = sales.filter(f"data_date >= {date_index(sales, ALL).since_days(6)}")
     return _at_pairs(recent, st.quantity_by_key(recent, st.last_week_name), st.THREE_KEYS)
 
 

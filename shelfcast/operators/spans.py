@@ -39,25 +39,25 @@ class Measure:
         ]
 
 
-def span_stats(df, keys, measures, within=None, order="data_date"):
+def span_stats(df, keys, measures, since=None, order="data_date"):
     """Wide statistics per key; a span without rows gives NULL.
 
-    `within` maps a span to the SQL condition of its rows, e.g. DateIndex.since.
+    `since` maps a span to SQL of its first date, e.g. DateIndex.since.
 
     Statistics: max, min, mean, sum, count (non-null values), rows, var, std, first (value at the
     smallest `order`), median (exact).
     """
     keys = list(keys)
-    wide = _combine(df, keys, measures, within, order)
+    wide = _combine(df, keys, measures, since, order)
     for measure in measures:
         medians = [(span, name) for stat, span, name in measure.outputs() if stat == "median"]
         if medians:
-            wide = wide.join(_medians(df, keys, measure.column, medians, within), keys, "left")
+            wide = wide.join(_medians(df, keys, measure.column, medians, since), keys, "left")
     names = [name for m in measures for _, _, name in m.outputs()]
     return wide.select(*keys, *names)
 
 
-def _combine(df, keys, measures, within, order):
+def _combine(df, keys, measures, since, order):
     spans = sorted({s for m in measures for s in m.spans})
     parts = {"rows__": "count(1)"}
     for m in measures:
@@ -75,8 +75,9 @@ def _combine(df, keys, measures, within, order):
         return grouped.selectExpr(
             *keys, *[f"{_single(column, stat)} AS {name}" for column, stat, _, name in wanted]
         )
-    bands = " ".join(f"WHEN {within(span)} THEN {i}" for i, span in enumerate(spans))
-    banded = df.selectExpr("*", f"CASE {bands} ELSE {len(spans)} END AS band")
+    # Longer spans start earlier, so the number of later starts is the shortest span that fits.
+    later = " + ".join(f"cast(data_date < {since(span)} AS int)" for span in spans)
+    banded = df.selectExpr("*", f"{later} AS band")
     grouped = banded.groupBy(*keys, "band").agg(*pieces).repartition(*keys)
     finals = []
     for column, stat, span, name in wanted:
@@ -163,10 +164,10 @@ def _spread(squares, n, stat):
     return f"sqrt({var})" if stat == "std" else var
 
 
-def _medians(df, keys, column, wanted, within):
+def _medians(df, keys, column, wanted, since):
     """Exact medians of one column for several spans, from counts per distinct value."""
     weights = [
-        F.expr(f"sum({'1' if span is None else f'cast({within(span)} AS int)'}) AS {name}")
+        F.expr(f"sum({'1' if span is None else f'cast(data_date >= {since(span)} AS int)'}) AS {name}")
         for span, name in wanted
     ]
     counts = (

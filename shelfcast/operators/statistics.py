@@ -205,7 +205,7 @@ def category_rollup(sales, behaviour, goodsinfo):
 
 def last_day_sums(tagged, index):
     """Units sold on the last date of the window, per variant and per goods."""
-    final = tagged.filter(index.since(1))
+    final = tagged.filter(f"data_date >= {index.since(1)}")
     per_sku = final.groupBy("window_id", "sku_id").agg(
         F.sum("goods_num").cast("double").alias("last_day_sku_sale_num_sum")
     )

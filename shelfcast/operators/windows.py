@@ -89,28 +89,29 @@ class DateIndex:
     def __init__(self, dates):
         self.dates = {wid: sorted(days) for wid, days in dates.items()}
 
-    def _per_window(self, condition):
-        if not self.dates:
-            return "false"
-        cases = [f"WHEN {wid} THEN {condition(days)}" for wid, days in self.dates.items()]
-        return f"CASE window_id {' '.join(cases)} ELSE false END"
+    def _lookup(self, value):
+        """SQL of a literal map from window_id to value(dates), looked up for the row.
+
+        A map keeps the generated code small; nested CASE branches would outgrow what the JVM
+        compiles.
+        """
+        entries = ", ".join(f"{wid}, {value(days)}" for wid, days in self.dates.items())
+        return f"try_element_at(map({entries}), window_id)" if entries else "NULL"
 
     def since(self, span):
-        """SQL condition: the last `span` distinct dates (all rows where there are fewer)."""
-        return self._per_window(lambda days: f"data_date >= {days[-min(span, len(days))]}")
+        """SQL of the first date of the last `span` distinct dates (of all, where fewer)."""
+        return self._lookup(lambda days: days[-min(span, len(days))])
 
     def since_days(self, days):
-        """SQL condition: at most `days` calendar days before the last date (days + 1 days)."""
-        return self._per_window(lambda d: f"data_date >= {shift(d[-1], -days)}")
+        """SQL of the date `days` calendar days before the last date; spans days + 1 days."""
+        return self._lookup(lambda d: shift(d[-1], -days))
 
     def week(self, k, size=7):
         """SQL condition: the k-th block of `size` distinct dates, counted from the first."""
-
-        def inside(days):
-            block = days[k * size : (k + 1) * size]
-            return f"data_date BETWEEN {block[0]} AND {block[-1]}" if block else "false"
-
-        return self._per_window(inside)
+        blocks = {wid: days[k * size : (k + 1) * size] for wid, days in self.dates.items()}
+        found = DateIndex({wid: block for wid, block in blocks.items() if block})
+        first, last = found._lookup(lambda d: d[0]), found._lookup(lambda d: d[-1])
+        return f"data_date BETWEEN {first} AND {last}"
 
 
 def date_positions(tagged):
