@@ -8,7 +8,6 @@ so ties and hot values cost one row each in the ordered step.
 
 from dataclasses import dataclass
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators import ordered
@@ -71,16 +70,16 @@ def rank_columns(features, specs, key="sku_id"):
 def _rank_rows(features, specs, series, number, key):
     """Order the rows of each series directly, where no series is too large for a task."""
     long = _unpivot(features, series, key, fill_global=True)
-    values = Window.partitionBy("window_id", "series", "scope")
-    placed = long.select(
+    # All three counts share one partitioning and order, so one sort serves them.
+    order = "PARTITION BY window_id, series, scope ORDER BY value"
+    placed = long.selectExpr(
         "window_id",
         key,
         "series",
-        (F.rank().over(values.orderBy("value")) - 1).alias("n_before"),
-        F.count(F.lit(1)).over(
-            Window.partitionBy("window_id", "series", "scope", "value")
-        ).alias("n"),
-        F.count(F.lit(1)).over(values).alias("n_total"),
+        f"rank() OVER ({order}) - 1 AS n_before",
+        f"count(1) OVER ({order} RANGE BETWEEN CURRENT ROW AND CURRENT ROW) AS n",
+        f"count(1) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+        " AS n_total",
     )
     ranks = _pivot(placed, specs, number, key)
     return features.join(ranks, ["window_id", key], "left")
@@ -112,12 +111,23 @@ def _rank_by_value(features, specs, series, number, key):
 
 
 def _pivot(placed, specs, number, key):
-    """One row per (window_id, key); the narrow rows are shuffled, not the widened ones."""
-    return (
+    """One row per (window_id, key).
+
+    The narrow rows are shuffled, not the widened ones, and gathered into a map with one entry
+    per series, which is cheaper than one conditional aggregate per rank column.
+    """
+    counts = "struct(n_before, n, n_total)"
+    gathered = (
         placed.repartition("window_id", key)
         .groupBy("window_id", key)
-        .agg(*_by_series(specs, number, ("n_before", "n", "n_total")))
+        .agg(F.expr(f"map_from_entries(collect_list(struct(series, {counts}))) AS found"))
     )
+    ranks = []
+    for s in specs:
+        entry = f"try_element_at(found, {number[s.series]})"
+        columns = [f"{entry}.{name}" for name in ("n_before", "n", "n_total")]
+        ranks.append(f"{_position(s, *columns)} AS {s.target}")
+    return gathered.selectExpr("window_id", key, *ranks)
 
 
 def _unpivot(features, series, key, fill_global):
