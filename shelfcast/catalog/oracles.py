@@ -4,6 +4,8 @@ Statements share common table expressions for the model tables and windows; wide
 generated. Computed DOUBLE columns are snapped as in the queries.
 """
 
+from shelfcast.catalog import NULLABLE_INTEGERS
+
 WEEKS = ("week1", "week2", "week3", "week4", "week5")
 MEASURES = ("goods_click", "cart_click", "favorites_click", "sales_uv")
 CATEGORIES = tuple(f"cat_level{i}_id" for i in range(1, 8))
@@ -995,3 +997,7 @@ LEFT JOIN a USING (window_id, sku_id) LEFT JOIN g USING (window_id, goods_id)"""
         LABELS,
     ),
 }
+
+for _name, _columns in NULLABLE_INTEGERS.items():
+    _casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _columns)
+    ORACLES[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLES[_name]})"

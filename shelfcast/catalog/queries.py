@@ -8,6 +8,7 @@ decimals (away from decimal ties), as in the SQL twins.
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfcast.catalog import NULLABLE_INTEGERS
 from shelfcast.functions.dates import distance
 from shelfcast.functions.numeric import (
     WEEKS,
@@ -672,13 +673,17 @@ PLAIN = {
 }
 
 
-def _with_snap(query):
+def _with_snap(name, query):
+    doubles = NULLABLE_INTEGERS.get(name, ())
+
     def run(spark, folder):
-        return snapped(query(spark, folder))
+        return snapped(query(spark, folder)).withColumns(
+            {c: F.col(c).cast("double") for c in doubles}
+        )
 
     run.__name__ = query.__name__
     run.__doc__ = query.__doc__
     return run
 
 
-QUERIES = {name: _with_snap(query) for name, query in PLAIN.items()}
+QUERIES = {name: _with_snap(name, query) for name, query in PLAIN.items()}
