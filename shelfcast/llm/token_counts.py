@@ -21,8 +21,8 @@ from shelfcast.llm.common import record_batch, slices, texts
 from shelfcast.llm.pieces import SPACE, PieceValues, class_table
 
 # Bounds of a worker's memory; beyond them compiled parts are dropped and compiled anew.
-MAX_STATES = 250_000
-CACHE_PIECES = 800_000
+MAX_STATES = 120_000
+CACHE_PIECES = 400_000
 # Characters of a chunk of a long text.
 CHUNK_CHARS = 1 << 20
 SLICE_BYTES = 2 << 20
