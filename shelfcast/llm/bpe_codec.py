@@ -17,8 +17,8 @@ from shelfcast.llm.bpe_rules import read_tokenizer, rules_of
 from shelfcast.llm.common import arrow_type, record_batch, slices, texts
 from shelfcast.llm.pieces import PieceValues
 
-# Pieces a worker remembers, a bound of its memory (about 200 MB); results don't depend on it.
-CACHE_PIECES = 800_000
+# Pieces a worker remembers, a bound of its memory (about 100 MB); results don't depend on it.
+CACHE_PIECES = 400_000
 SLICE_BYTES = 2 << 20
 
 

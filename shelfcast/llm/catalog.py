@@ -4,8 +4,11 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from shelfcast.llm.bpe_codec import round_trip
-from shelfcast.llm.common import documents
+from shelfcast.llm.common import documents, table
+from shelfcast.llm.labelled import fold
+from shelfcast.llm.quality import fit_quality, score_quality
 from shelfcast.llm.token_counts import count_tokens
+from shelfcast.llm.toxicity import fit_toxicity, score_toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -22,9 +25,38 @@ def op7_token_counts(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_toxicity(spark, sf_dir):
+    """Toxicity score of every document; the fold crc32(doc_id) % 4 = 2 is never learned from."""
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    model = fit_toxicity(docs, labels.where(fold("doc_id", 4) != 2))
+    scored = score_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= model.params.threshold).cast("int").alias("predicted"),
+        "threshold",
+        (F.col("score") >= F.col("threshold")).cast("int").alias("predicted_by_language"),
+    )
+
+
+def op5_quality(spark, sf_dir):
+    """Quality score of every document; the fold crc32(doc_id) % 3 = 1 is never learned from."""
+    docs = documents(spark, sf_dir)
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    scored = score_quality(docs, fit_quality(docs, labels.where(fold("doc_id", 3) != 1)))
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_bpe_codec, op7_token_counts)
+    for f in (op2_bpe_codec, op4_toxicity, op5_quality, op7_token_counts)
 }
 
 ORACLES = {}
