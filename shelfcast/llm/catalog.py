@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm.bpe_codec import round_trip
 from shelfcast.llm.common import documents, table
 from shelfcast.llm.labelled import fold
+from shelfcast.llm.near_dup import NearDupParams, near_duplicates
 from shelfcast.llm.quality import fit_quality, score_quality
 from shelfcast.llm.token_counts import count_tokens
 from shelfcast.llm.toxicity import fit_toxicity, score_toxicity
@@ -14,6 +15,11 @@ TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+def op1_minhash_near_dup(spark, sf_dir):
+    """Near-duplicate groups of all documents by shingles of four words."""
+    return near_duplicates(documents(spark, sf_dir), NearDupParams(words=4))
+
+
 def op2_bpe_codec(spark, sf_dir):
     """Token ids of every document and back: counts and digests."""
     return round_trip(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
@@ -56,7 +62,7 @@ def op5_quality(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_bpe_codec, op4_toxicity, op5_quality, op7_token_counts)
+    for f in (op1_minhash_near_dup, op2_bpe_codec, op4_toxicity, op5_quality, op7_token_counts)
 }
 
 ORACLES = {}
