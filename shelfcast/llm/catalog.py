@@ -7,6 +7,7 @@ from shelfcast.llm.bpe_codec import round_trip
 from shelfcast.llm.common import documents, table
 from shelfcast.llm.labelled import fold
 from shelfcast.llm.near_dup import NearDupParams, near_duplicates
+from shelfcast.llm.nearest import nearest
 from shelfcast.llm.quality import fit_quality, score_quality
 from shelfcast.llm.token_counts import count_tokens
 from shelfcast.llm.toxicity import fit_toxicity, score_toxicity
@@ -60,9 +61,15 @@ def op5_quality(spark, sf_dir):
     )
 
 
+def op8_nearest_neighbours(spark, sf_dir):
+    """The ten nearest vectors found for every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return nearest(vectors, F.col("id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_minhash_near_dup, op2_bpe_codec, op4_toxicity, op5_quality, op7_token_counts)
+    for f in (op1_minhash_near_dup, op2_bpe_codec, op4_toxicity, op5_quality, op7_token_counts, op8_nearest_neighbours)
 }
 
 ORACLES = {}
