@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.bpe_codec import round_trip
 from shelfcast.llm.common import documents, table
+from shelfcast.llm.fingerprints import compare_with_edits
 from shelfcast.llm.labelled import fold
 from shelfcast.llm.near_dup import NearDupParams, near_duplicates
 from shelfcast.llm.nearest import nearest
@@ -26,6 +27,11 @@ def op2_bpe_codec(spark, sf_dir):
     return round_trip(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
 
+def op6_document_fingerprints(spark, sf_dir):
+    """I-Match fingerprints of all documents and of their edited texts."""
+    return compare_with_edits(documents(spark, sf_dir))
+
+
 def op7_token_counts(spark, sf_dir):
     """Bytes and tokens of every document."""
     counts = count_tokens(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
@@ -69,7 +75,15 @@ def op8_nearest_neighbours(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_minhash_near_dup, op2_bpe_codec, op4_toxicity, op5_quality, op7_token_counts, op8_nearest_neighbours)
+    for f in (
+        op1_minhash_near_dup,
+        op2_bpe_codec,
+        op4_toxicity,
+        op5_quality,
+        op6_document_fingerprints,
+        op7_token_counts,
+        op8_nearest_neighbours,
+    )
 }
 
 ORACLES = {}
