@@ -23,6 +23,8 @@ SMALL_ROWS = 500_000
 class MatchParams:
     """Band of document frequencies (shares of all documents), subset rates and copies.
 
+    Each rate divides the next one.
+
     The lower end rises where needed to keep the lexicon within `lexicon` terms.
     """
 
@@ -58,27 +60,50 @@ def lexicon_table(docs, params):
     return keep(every.agg(F.transform(in_order, lambda s: s["terms"]).alias("lexicon")), "lexicon")
 
 
-def fingerprint(text, lexicon, params):
-    """Array with one int per subset; null where the subset has no term of the document.
+def settled(df, name, value):
+    """`df` with a column computed once per row, however often later expressions use it.
+
+    The one-element generator keeps the optimizer from copying `value` into its users.
+    """
+    others = [c for c in df.columns if c != name]
+    return df.select(*others, value.alias(name)).select(
+        *others, F.explode(F.array(name)).alias(name)
+    )
+
+
+def with_fingerprint(docs, text, lexicon, params, name):
+    """`docs` with an array column: one int per subset, null where it has no term of the text.
 
     A text with terms of which none is in the lexicon is fingerprinted by all of its terms.
     """
-    every = terms(text)
     slot = F.lit(params.slots)
+    columns = docs.columns
+    rows = settled(docs, "_terms", terms(F.col(text)))
+    rows = rows.withColumn("_lexicon", lexicon.scalar())
     known = F.filter(
-        every, lambda t: F.array_contains(F.get(lexicon, F.pmod(t, slot).cast("int")), t)
-    )
-    used = F.array_sort(F.when(F.size(known) > 0, known).otherwise(every))
-    rates = [(copy, rate) for rate in params.rates for copy in range(params.copies)]
-    subsets = F.array(
-        *[F.struct(F.lit(c).alias("copy"), F.lit(r).alias("rate")) for c, r in rates]
+        "_terms", lambda t: F.array_contains(F.get("_lexicon", F.pmod(t, slot).cast("int")), t)
     )
-
-    def hashed(s):
-        part = F.filter(used, lambda t: F.pmod(F.xxhash64(t, s["copy"], s["rate"]), s["rate"]) == 0)
-        return F.when(F.size(part) > 0, F.xxhash64(part).cast("int"))
-
-    return F.transform(subsets, hashed)
+    rows = settled(rows.select(*columns, "_terms", known.alias("_known")), "_known", F.col("_known"))
+    used = F.sort_array(F.when(F.size("_known") > 0, F.col("_known")).otherwise(F.col("_terms")))
+    rows = settled(rows.select(*columns, used.alias("_used")), "_used", F.col("_used"))
+    # The subset of a copy at one rate lies inside of its subset at the rate before.
+    copies = F.array(*[F.lit(c) for c in range(params.copies)])
+    prints, inner = [], None
+    for rate in params.rates:
+        if inner is None:
+            parts = F.transform(copies, lambda c: F.filter("_used", lambda t: _drawn(t, c, rate)))
+        else:
+            parts = F.transform(
+                inner, lambda part, c: F.filter(part, lambda t: _drawn(t, c, rate))
+            )
+        inner = f"_rate{rate}"
+        rows = settled(rows.select("*", parts.alias(inner)), inner, F.col(inner))
+        prints.append(F.transform(inner, lambda part: F.when(F.size(part) > 0, F.hash(part))))
+    return settled(rows.select(*columns, F.concat(*prints).alias(name)), name, F.col(name))
+
+
+def _drawn(term, copy, rate):
+    return F.pmod(F.xxhash64(term, copy), F.lit(rate)) == 0
 
 
 def as_text(prints):
@@ -130,13 +155,15 @@ def successors(ids):
     return level(ids, low, high)
 
 
-def with_next(docs, columns):
+def with_next(docs, columns, ids):
     """`docs` with next_<column>: values of the next document by descending doc_id.
 
+    `ids` is a table of the same documents' ids (doc_id) that is cheap to read.
+
     After the smallest id comes the largest. Rows with the same id follow each other in the order
     of their texts. Rows without an id have no next document (null values).
     """
-    ids = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
+    ids = ids.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
     group = F.shiftright("doc_id", GROUP_BITS)
     heads = ids.groupBy(F.shiftright("id", GROUP_BITS).alias("in_group")).agg(
         F.max("id").alias("head")
@@ -178,27 +205,24 @@ def compare_with_edits(docs, params=MatchParams()):
     document; their edited text just loses its end. Repeated rows stay.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    table = lexicon_table(docs, params)
-
-    def lexicon():
-        return table.scalar()
-
-    marked = docs.withColumn("lexicon", lexicon()).select(
-        "doc_id", "text", fingerprint(F.col("text"), F.col("lexicon"), params).alias("prints")
-    )
+    lexicon = lexicon_table(docs, params)
+    marked = with_fingerprint(docs, "text", lexicon, params, "prints")
     n_chars = F.length("text")
     third = F.floor(n_chars / 3).cast("int")
     following = F.coalesce("next_text", F.lit(""))
-    edited = with_next(marked, ["text", "prints"]).withColumn(
-        "edited", F.concat(F.left("text", n_chars - third), F.left(following, third))
-    )
-    both = edited.withColumn("lexicon", lexicon()).withColumn(
-        "edited_prints", fingerprint(F.col("edited"), F.col("lexicon"), params)
+    edited = F.concat(F.left("text", n_chars - third), F.left(following, third))
+    rows = with_next(marked, ["text", "prints"], docs).select(
+        "doc_id",
+        n_chars.cast("long").alias("n_chars"),
+        "prints",
+        "next_prints",
+        edited.alias("edited"),
     )
+    both = with_fingerprint(rows, "edited", lexicon, params, "edited_prints")
     nothing = F.lit(0.0)
     return both.select(
         "doc_id",
-        n_chars.cast("long").alias("n_chars"),
+        "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_text(F.col("prints")).alias("fingerprint"),
         as_text(F.col("edited_prints")).alias("edited_fingerprint"),
