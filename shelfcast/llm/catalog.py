@@ -10,6 +10,7 @@ from shelfcast.llm.labelled import fold
 from shelfcast.llm.near_dup import NearDupParams, near_duplicates
 from shelfcast.llm.nearest import nearest
 from shelfcast.llm.quality import fit_quality, score_quality
+from shelfcast.llm.repeats import repeat_digest
 from shelfcast.llm.token_counts import count_tokens
 from shelfcast.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -73,6 +74,11 @@ def op8_nearest_neighbours(spark, sf_dir):
     return nearest(vectors, F.col("id") % 100 == 0)
 
 
+def op10_suffix_array_dedup(spark, sf_dir):
+    """What is left of every document without 50-byte passages of documents with smaller ids."""
+    return repeat_digest(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,6 +89,7 @@ QUERIES = {
         op6_document_fingerprints,
         op7_token_counts,
         op8_nearest_neighbours,
+        op10_suffix_array_dedup,
     )
 }
 
