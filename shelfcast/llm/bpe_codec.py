@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 from shelfcast.llm.bpe_rules import read_tokenizer, rules_of
-from shelfcast.llm.common import arrow_type, record_batch, slices, texts
+from shelfcast.llm.common import arrow_type, record_batch, ship, slices, texts
 from shelfcast.llm.pieces import PieceValues
 
 # Pieces a worker remembers, a bound of its memory (about 100 MB); results don't depend on it.
@@ -97,6 +97,7 @@ def encode_documents(docs, tokenizer, key="doc_id", text="text"):
     depends on its own text only, so a lost task is simply run again.
     """
     spark = docs.sparkSession
+    ship(spark)
     source = spark.sparkContext.broadcast(read_tokenizer(tokenizer))
     ids = docs.select(key, text)
     schema = pa.schema([(key, arrow_type(ids, key)), ("ids", pa.list_(pa.int32()))])
@@ -125,6 +126,7 @@ def round_trip(docs, tokenizer):
 
     Null texts are empty: no ids, the digests of nothing. The order and number of rows are kept.
     """
+    ship(docs.sparkSession)
     source = docs.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer))
 
     def run(batches):

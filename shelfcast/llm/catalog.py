@@ -8,6 +8,8 @@ from shelfcast.llm.common import documents, table
 from shelfcast.llm.fingerprints import compare_with_edits
 from shelfcast.llm.labelled import fold
 from shelfcast.llm.near_dup import NearDupParams, near_duplicates
+from shelfcast.llm.licenses import scan_licenses
+from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.nearest import nearest
 from shelfcast.llm.quality import fit_quality, score_quality
 from shelfcast.llm.repeats import repeat_digest
@@ -39,6 +41,12 @@ def op7_token_counts(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op3_source_mixing(spark, sf_dir):
+    """Weight of every document's source and copies of the document in the mixture."""
+    mixed = mix_sources(documents(spark, sf_dir, "doc_id", "text", "source"))
+    return mixed.select("doc_id", "source", "mix_tokens", "mix_weight", "mix_copies")
+
+
 def op4_toxicity(spark, sf_dir):
     """Toxicity score of every document; the fold crc32(doc_id) % 4 = 2 is never learned from."""
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
@@ -74,6 +82,11 @@ def op8_nearest_neighbours(spark, sf_dir):
     return nearest(vectors, F.col("id") % 100 == 0)
 
 
+def op9_license_scans(spark, sf_dir):
+    """License phrases and notices of all documents."""
+    return scan_licenses(documents(spark, sf_dir))
+
+
 def op10_suffix_array_dedup(spark, sf_dir):
     """What is left of every document without 50-byte passages of documents with smaller ids."""
     return repeat_digest(documents(spark, sf_dir))
@@ -84,11 +97,13 @@ QUERIES = {
     for f in (
         op1_minhash_near_dup,
         op2_bpe_codec,
+        op3_source_mixing,
         op4_toxicity,
         op5_quality,
         op6_document_fingerprints,
         op7_token_counts,
         op8_nearest_neighbours,
+        op9_license_scans,
         op10_suffix_array_dedup,
     )
 }

@@ -1,6 +1,9 @@
 """Helpers the operators share: reading tables, Arrow batches of bounded size, kept tables."""
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,6 +22,23 @@ def documents(spark, sf_dir, *columns):
     return table(spark, sf_dir, "documents", *(columns or ("doc_id", "text")))
 
 
+_shipped = set()
+
+
+def ship(spark):
+    """Send this package to the Python workers of the session, once, so they can import it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def slices(batches, column="text", limit=SLICE_BYTES):
     """Cut record batches so that the texts of one slice hold about `limit` bytes."""
     for batch in batches:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import keep
+from shelfcast.llm.common import keep, ship
 from shelfcast.llm.pieces import mix
 
 
@@ -142,6 +142,7 @@ def nearest(table, is_query, params=SearchParams(), key="vec_id", vector="embedd
     Equal vectors are indexed once, with the k + 1 smallest of their ids, so that a vector shared by
     many rows is no hot bucket and no row is lost.
     """
+    ship(table.sparkSession)
     rows = usable_vectors(table, key, vector).select(
         "*", F.xxhash64("vec").alias("one"), F.xxhash64(F.lit(1), "vec").alias("two")
     )

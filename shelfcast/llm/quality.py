@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-from shelfcast.llm.common import record_batch, slices, texts
+from shelfcast.llm.common import record_batch, ship, slices, texts
 from shelfcast.llm.labelled import balanced_sample, label_share
 from shelfcast.llm.pieces import OTHER, SPACE, class_table, code_points, span_hashes
 
@@ -153,6 +153,7 @@ def score_quality(docs, model):
     Null and empty texts have no features: their score is that of the offset alone. doc_id may be
     null or repeated; other columns are left behind.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import slices
+from shelfcast.llm.common import ship, slices
 from shelfcast.llm.pieces import mix
 
 SLICE_BYTES = 4 << 20
@@ -378,6 +378,7 @@ def repeated_spans(docs, finish, fields, params=RepeatParams()):
     in a document with a smaller doc_id. Rows with the same doc_id are one document: they never
     remove from each other. Rows without doc_id, and null or short texts, lose nothing.
     """
+    ship(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, blocks = max(64, size // params.bucket_bytes), max(64, size // params.block_bytes)
     shared = _shared_anchors(docs, params, buckets, blocks)

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 from shelfcast.llm.bpe_rules import read_tokenizer, rules_of
-from shelfcast.llm.common import record_batch, slices, texts
+from shelfcast.llm.common import record_batch, ship, slices, texts
 from shelfcast.llm.pieces import SPACE, PieceValues, class_table
 
 # Bounds of a worker's memory; beyond them compiled parts are dropped and compiled anew.
@@ -187,6 +187,7 @@ def count_tokens(docs, tokenizer):
 
     Rows are independent: repeated rows stay, doc_id may be null, other columns are ignored.
     """
+    ship(docs.sparkSession)
     source = docs.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer))
 
     def run(batches):
