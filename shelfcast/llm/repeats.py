@@ -99,20 +99,32 @@ def anchors(raw, params):
     return owner, chosen - starts[owner], hashes[chosen]
 
 
+_CODEC = pa.Codec("zstd")
+
+
+def _pressed(values):
+    raw = values.tobytes()
+    return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
+
+
 def _packed(keys, columns, names):
-    """A table with one row per key: the columns' values of that key as bytes."""
+    """A table with one row per key: the columns' values of that key as compressed bytes."""
     order = np.argsort(keys, kind="stable")
     distinct, first = np.unique(keys[order], return_index=True)
     ends = np.append(first[1:], len(order))
     arrays = [pa.array(distinct.astype(np.int64))]
     for column in columns:
         ordered = np.ascontiguousarray(column[order])
-        arrays.append(pa.array([ordered[s:e].tobytes() for s, e in zip(first, ends)], pa.binary()))
+        arrays.append(pa.array([_pressed(ordered[s:e]) for s, e in zip(first, ends)], pa.binary()))
     return pa.table(arrays, names=names)
 
 
 def _unpacked(table, name, dtype):
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
+    parts = [
+        _CODEC.decompress(p[8:], int.from_bytes(p[:8], "little"), asbytes=True)
+        for p in table.column(name).to_pylist()
+    ]
+    return np.frombuffer(b"".join(parts), dtype)
 
 
 SHORT = np.uint64(0xFFFFFFFFFFFF)
@@ -157,6 +169,8 @@ def _shared_anchors(docs, params, buckets, blocks):
         several = np.minimum.reduceat(ids, first) < np.maximum.reduceat(ids, first)
         several = np.repeat(several, np.diff(np.append(first, len(ids))))
         ids, short = ids[several], short[several]
+        order = np.argsort(ids, kind="stable")
+        ids, short = ids[order], short[order]
         return _packed(_block_of(ids, blocks), [ids, short], ["block", "ids", "found"])
 
     sent = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(
@@ -170,7 +184,15 @@ def _texts(part):
 
 
 def _block_of(ids, blocks):
-    return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+    """Block of a document; the same as the expression in repeated_spans()."""
+    return np.mod(ids.astype(np.int64), blocks)
+
+
+def _prime(least):
+    """The smallest prime from `least` on, so that ids with a common step fill all blocks."""
+    while any(least % d == 0 for d in range(2, int(least**0.5) + 1)):
+        least += 1
+    return least
 
 
 def _in_order(table):
@@ -193,7 +215,7 @@ def _contexts(docs, shared, params, buckets):
     def cut(texts, found):
         ids, raw, numbers = _in_order(texts)
         wanted_ids, wanted = _unpacked(found, "ids", "<i8"), _unpacked(found, "found", "<u8")
-        names = ["bucket", "context", "before", "after", "hash", "ids", "numbers", "places"]
+        names = ["bucket", "context", "before", "after", "ids", "numbers", "places"]
         usable = [k for k, i in enumerate(ids) if i is not None]
         pairs = np.unique(mix(wanted_ids.view(np.uint64)) ^ mix(wanted)) if len(wanted) else wanted
         parts, k = [], 0
@@ -220,21 +242,21 @@ def _contexts(docs, shared, params, buckets):
             ).astype(np.uint8)
             parts.append((
                 (hashes % np.uint64(buckets)).astype(np.int64), context, before.astype("<u2"),
-                after.astype("<u2"), hashes, group_ids[owner],
+                after.astype("<u2"), group_ids[owner],
                 np.array([numbers[g] for g in group], "<i4")[owner], place.astype("<i8"),
             ))
         if not parts:
             parts = [(np.zeros(0, np.int64), np.zeros((0, width), np.uint8), np.zeros(0, "<u2"),
-                      np.zeros(0, "<u2"), np.zeros(0, np.uint64), np.zeros(0, np.int64),
+                      np.zeros(0, "<u2"), np.zeros(0, np.int64),
                       np.zeros(0, "<i4"), np.zeros(0, "<i8"))]
         keys, *columns = [np.concatenate(c) for c in zip(*parts)]
         return _packed(keys, columns, names)
 
     kind = (
-        "bucket long, context binary, before binary, after binary, hash binary, ids binary, "
-        "numbers binary, places binary"
+        "bucket long, context binary, before binary, after binary, ids binary, numbers binary, "
+        "places binary"
     )
-    return docs.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(cut, kind)
+    return docs.groupBy("_block").cogroup(shared.groupBy("block")).applyInArrow(cut, kind)
 
 
 def interval_tree(lengths, least):
@@ -312,7 +334,7 @@ def _spans(contexts, params, blocks):
     def search(table):
         context = _unpacked(table, "context", np.uint8).reshape(-1, width)
         before, after = _unpacked(table, "before", "<u2"), _unpacked(table, "after", "<u2")
-        anchor, ids = _unpacked(table, "hash", "<u8"), _unpacked(table, "ids", "<i8")
+        ids = _unpacked(table, "ids", "<i8")
         numbers, places = _unpacked(table, "numbers", "<i4"), _unpacked(table, "places", "<i8")
         names = ["block", "ids", "numbers", "starts", "ends"]
         if not len(ids):
@@ -326,7 +348,10 @@ def _spans(contexts, params, blocks):
         long = before.astype(int) + after >= params.length
         later = (ids > smallest[which]) & long
         out = [(ids[later], numbers[later], (places - before)[later], (places + after)[later])]
-        _, group, size = np.unique(anchor[sample], return_inverse=True, return_counts=True)
+        anchor = np.ascontiguousarray(context[sample][:, reach : reach + params.anchor])
+        _, group, size = np.unique(
+            anchor.view(f"V{params.anchor}").ravel(), return_inverse=True, return_counts=True
+        )
         several = np.flatnonzero(size[group] > 1)
         repeat, member, column, length = maximal_repeats(
             context[sample[several]], before[sample[several]], after[sample[several]], group[several], params
@@ -380,19 +405,14 @@ def repeated_spans(docs, finish, fields, params=RepeatParams()):
     """
     ship(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets, blocks = max(64, size // params.bucket_bytes), max(64, size // params.block_bytes)
+    buckets, blocks = max(64, size // params.bucket_bytes), _prime(max(64, size // params.block_bytes))
     shared = _shared_anchors(docs, params, buckets, blocks)
     columns = docs.columns
 
-    def dealt(batches):
-        for batch in batches:
-            ids = pa.compute.fill_null(batch.column("doc_id"), 0).to_numpy(zero_copy_only=False)
-            block = pa.array(_block_of(ids, blocks))
-            yield pa.RecordBatch.from_arrays([*batch.columns, block], names=[*columns, "block"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    placed = docs.mapInArrow(dealt, f"{kinds}, block long")
-    spans = _spans(_contexts(placed.select("block", "doc_id", "text"), shared, params, buckets), params, blocks)
+    # Both uses of the documents read one exchange.
+    place = F.coalesce("doc_id", F.xxhash64("text"), F.lit(0))
+    placed = docs.withColumn("_block", F.pmod(place, F.lit(blocks)))
+    spans = _spans(_contexts(placed, shared, params, buckets), params, blocks)
 
     def last(table, found):
         ids, raw, numbers = _in_order(table)
@@ -410,7 +430,7 @@ def repeated_spans(docs, finish, fields, params=RepeatParams()):
             lists.append(_union(starts[c:d], ends[c:d], len(text)) if d > c else ((), ()))
         return finish(table.select(columns), raw, lists)
 
-    return placed.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(last, fields)
+    return placed.groupBy("_block").cogroup(spans.groupBy("block")).applyInArrow(last, fields)
 
 
 def _kept(raw, starts, ends):
