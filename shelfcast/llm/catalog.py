@@ -3,12 +3,13 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from shelfcast.llm import oracles
 from shelfcast.llm.bpe_codec import round_trip
 from shelfcast.llm.common import documents, table
 from shelfcast.llm.fingerprints import compare_with_edits
 from shelfcast.llm.labelled import fold
 from shelfcast.llm.near_dup import NearDupParams, near_duplicates
-from shelfcast.llm.licenses import scan_licenses
+from shelfcast.llm.licenses import PHRASES, scan_licenses
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.nearest import nearest
 from shelfcast.llm.quality import fit_quality, score_quality
@@ -84,7 +85,7 @@ def op8_nearest_neighbours(spark, sf_dir):
 
 def op9_license_scans(spark, sf_dir):
     """License phrases and notices of all documents."""
-    return scan_licenses(documents(spark, sf_dir))
+    return scan_licenses(documents(spark, sf_dir)).drop("n_templates")
 
 
 def op10_suffix_array_dedup(spark, sf_dir):
@@ -108,4 +109,8 @@ QUERIES = {
     )
 }
 
-ORACLES = {}
+ORACLES = {
+    "op1_minhash_near_dup": oracles.NEAR_DUPLICATES,
+    "op9_license_scans": oracles.license_sql(PHRASES),
+    "op10_suffix_array_dedup": oracles.SUFFIX_ARRAY,
+}
