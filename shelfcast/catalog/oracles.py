@@ -579,7 +579,7 @@ HOLIDAYS = """holiday AS (
 STAND_IN = f"""stand_in AS (SELECT sku_id, {', '.join(
     f"sum(goods_num) FILTER (WHERE floor(date_diff('day', DATE '2000-05-15', "
     f"{day('data_date')}) / 7.0) = {k}) AS {w}" for k, w in enumerate(WEEKS))}
-  FROM sales GROUP BY 1),
+  FROM sales WHERE data_date BETWEEN 20000515 AND 20000618 GROUP BY 1),
 assembled AS (SELECT p_partkey AS sku_id, {', '.join(WEEKS)}
   FROM part LEFT JOIN stand_in ON sku_id = p_partkey)"""
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.catalog import NULLABLE_INTEGERS
-from shelfcast.functions.dates import distance
+from shelfcast.functions.dates import distance, shift
 from shelfcast.functions.numeric import (
     WEEKS,
     clamp,
@@ -144,7 +144,8 @@ def parse_price_const_query(spark, folder):
 
 
 def window_filter(spark, folder):
-    return date_range(td.goodsale(spark, folder), 19960229, 20001231)
+    lo, hi = 19960229, 20001231
+    return date_range(td.goodsale(spark, folder, lo=lo, hi=hi), lo, hi)
 
 
 def sku_universe(spark, folder):
@@ -178,7 +179,9 @@ def sku_window_sum(spark, folder):
 
 def _stand_in(spark, folder):
     """Sales of five label weeks as a stand-in forecast; unsold variants stay NULL."""
-    return days_to_weeks(td.goodsale(spark, folder), YEARS[4].label[0])
+    start = YEARS[4].label[0]
+    sales = td.goodsale(spark, folder, lo=start, hi=shift(start, 34))
+    return days_to_weeks(sales, start)
 
 
 def assemble_forecast_query(spark, folder):
@@ -468,7 +471,10 @@ def rank_fusion(spark, folder):
 
 
 def weekly_label_query(spark, folder):
-    tables = td.model_tables(spark, folder)
+    labelled = [w for w in YEARS if w.label]
+    first = min(min(w.feature[0], w.label[0]) for w in labelled)
+    last = max(max(w.feature[1], w.label[1]) for w in labelled)
+    tables = td.model_tables(spark, folder, lo=first, hi=last)
     return weekly_label(tables.goodsale, YEARS, training_universe(tables, YEARS))
 
 
@@ -567,7 +573,7 @@ def ols_week_forecast(spark, folder):
     return models.forecast_weeks(train, test, models.least_squares, 0.0)
 
 
-BRIEF = presets.Boosting(0.1, 4, 100, min_child=25, spark_rounds=5)
+BRIEF = presets.Boosting(0.1, 4, 5, min_child=25)
 
 
 def gbt_week_forecast(spark, folder):

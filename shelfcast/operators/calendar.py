@@ -75,7 +75,8 @@ def one_per_date(holiday):
 def calendar_features(rows, windows, marketing=None, holiday=None, weather=None, dedupe=True):
     """Weekday, day index, marketing plan, holiday code and weather of each row's date.
 
-    All calendars have one row per date and are cut to the label range before their broadcast.
+    Calendars are cut to the label range and to one row per date (the smallest values) before their
+    broadcast.
     dedupe=False keeps repeated holiday dates, which repeats the rows of those dates.
     """
     result = rows.withColumns(
@@ -101,6 +102,13 @@ def calendar_features(rows, windows, marketing=None, holiday=None, weather=None,
     return result
 
 
+def _first_per_date(calendar):
+    """One row per date of any calendar: the smallest value of each column."""
+    others = [c for c in calendar.columns if c != "data_date"]
+    return calendar.groupBy("data_date").agg(*[F.min(c).alias(c) for c in others])
+
+
 def _join_calendar(rows, calendar, lo, hi, windows):
-    cut = date_range(calendar, lo, hi)
+    # One row per date, so that the days of the windows bound what is broadcast.
+    cut = _first_per_date(date_range(calendar, lo, hi))
     return rows.join(small_calendar(cut, windows, "label"), "data_date", "left")

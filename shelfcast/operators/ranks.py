@@ -171,7 +171,8 @@ def fuse_ranks(scores, group, key, first, second):
     """Reciprocal-rank fusion of two scores inside each group.
 
     Average ranks r1, r2 (ascending) give 0.5/r1 + 0.5/r2; the result is the position by
-    descending fused score, ties broken by `key`.
+    descending fused score, ties broken by `key`. A row without one of the scores has no fused score
+    and no position, and takes no place from others.
     """
     scores = stage(scores.select(group, key, first, second), "scores")
     large = scores.count() > ordered.MAX_GROUP_ROWS
@@ -188,8 +189,9 @@ def fuse_ranks(scores, group, key, first, second):
         key,
         (F.lit(0.5) / F.col("rank1") + F.lit(0.5) / F.col("rank2")).alias("fused"),
     )
-    lined = fused.filter(F.col(group).isNotNull()).select(
+    lined = fused.filter(F.col(group).isNotNull() & F.col("fused").isNotNull()).select(
         "*", (-F.col("fused")).alias("falling"), F.lit(1).alias("n")
     )
     placed = running_counts(lined, [group], ["falling", key], ["n"], sliced=large)
-    return placed.select(group, key, "fused", (F.col("n_before") + 1).alias("fused_rank"))
+    ranks = placed.select(group, key, (F.col("n_before") + 1).alias("fused_rank"))
+    return fused.filter(F.col(group).isNotNull()).join(ranks, [group, key], "left")

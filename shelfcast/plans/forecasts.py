@@ -4,7 +4,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from shelfcast.functions.numeric import WEEKS, clamp_weeks, ratio
+from shelfcast.functions.numeric import WEEKS, clamp_weeks, ratio, reverse_weeks
 from shelfcast.operators.labels import resum_weeks
 from shelfcast.operators.windows import WindowSpec, date_range
 from shelfcast.plans import models
@@ -82,16 +82,22 @@ def week_forecast(tables, preset):
     return forecast
 
 
-def run_preset(tables, name, rounds=None):
-    """Forecast of one preset; `rounds` overrides the number of boosting rounds."""
+def run_preset(tables, name, rounds=None, reverse=None):
+    """Forecast of one preset; `rounds` overrides the number of boosting rounds.
+
+    `reverse` swaps the weeks end to end; by default the preset decides. Tables from files are to be
+    read with the preset's price mode.
+    """
     preset = p.PRESETS[name]
+    reverse = preset.reverse if reverse is None else reverse
     if rounds and preset.boosting:
-        preset = replace(preset, boosting=replace(preset.boosting, spark_rounds=rounds))
+        preset = replace(preset, boosting=replace(preset.boosting, rounds=rounds))
     targets = target_skus(tables.submit_example)
     if preset.model == "rule":
-        return share_of_total(tables.goodsale, targets)
-    if preset.model.startswith("day"):
+        forecast = share_of_total(tables.goodsale, targets)
+    elif preset.model.startswith("day"):
         forecast = day_forecast(tables, preset)
     else:
         forecast = week_forecast(tables, preset)
-    return assemble_forecast(targets, forecast)
+    whole = assemble_forecast(targets, forecast)
+    return reverse_weeks(whole) if reverse else whole

@@ -55,7 +55,7 @@ DAY_PAIRS = (
 DAY_TEST = ((20180221, 20180316), (20180501, 20180604))
 
 RULE_RANGE = (20180214, 20180316)
-# Forecast totals of the five weeks and the factor applied to each.
+# Forecast totals of the five weeks and the factor applied to each.
 RULE_TOTALS = (290000.0, 400000.0, 550000.0, 600000.0, 240000.0)
 RULE_FACTORS = (1.0, 1.02, 1.02, 1.12, 1.04)
 
@@ -75,8 +75,8 @@ GRANULARITIES = (24, 21, 14, 7, 5, 3, 1)
 class Boosting:
     """Parameters of gradient-boosted trees as published for each model.
 
-    `rounds` is the published number; Spark fits use `spark_rounds`, since every round is several
-    distributed passes. `leaves`, `l1` and `l2` have no counterpart in GBTRegressor.
+    `rounds` is the number of trees a fit grows. `leaves`, `l1` and `l2` have no counterpart in
+    GBTRegressor.
     """
 
     rate: float
@@ -89,7 +89,6 @@ class Boosting:
     gamma: float = 0.0
     row_share: float = 1.0
     column_share: float = 1.0
-    spark_rounds: int = 30
 
 
 @dataclass(frozen=True)
@@ -100,6 +99,10 @@ class Preset:
     test: tuple = ()
     boosting: Boosting | None = None
     clamp: str = "zero_null"
+    # How price text is read ("const" takes text with a separator for one fixed value), and whether
+    # the weeks of the forecast are swapped end to end.
+    price_mode: str = "strip"
+    reverse: bool = False
     options: dict = field(default_factory=dict)
 
     def windows(self):
@@ -172,7 +175,7 @@ PRESETS = {
             0.02, 6, 1000, min_child=18, l2=5.0, gamma=0.1, row_share=0.8, column_share=0.7
         ),
     ),
-    "linear_day_level": Preset("day_level", "day_ols", DAY_PAIRS, DAY_TEST, clamp="round"),
+    "linear_day_level": Preset("day_level", "day_ols", DAY_PAIRS, DAY_TEST, clamp="round", price_mode="const"),
     "boosted_day_level": Preset(
         "day_level",
         "day_boosted",
@@ -180,6 +183,7 @@ PRESETS = {
         DAY_TEST,
         Boosting(0.02, 5, 60, row_share=0.8, column_share=0.8),
         clamp="none",
+        price_mode="const",
     ),
     "boosted_day_level_selected": Preset(
         "day_level",
@@ -188,8 +192,10 @@ PRESETS = {
         DAY_TEST,
         Boosting(0.01, 5, 1500, leaves=31, row_share=0.8, column_share=0.8),
         clamp="none",
+        price_mode="const",
     ),
-    # Five targets at once on day-grain features, with the library's default trees.
+    # Five weekly targets at once, with the library's default trees. The targets are weekly, so the
+    # inputs are the weekly ranked slides.
     "boosted_multi_output": Preset(
         "slide_rank",
         "multi_output",

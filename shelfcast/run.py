@@ -20,6 +20,9 @@ def main(argv=None):
     parser.add_argument("--input-format", default="csv")
     parser.add_argument("--output-format", default="csv")
     parser.add_argument("--rounds", type=int, help="boosting rounds instead of the preset's")
+    parser.add_argument(
+        "--reverse-weeks", action="store_true", default=None, help="swap the weeks end to end"
+    )
     args = parser.parse_args(argv)
     spark = get_session("shelfcast")
     tables = read_model_tables(
@@ -27,9 +30,10 @@ def main(argv=None):
         args.input,
         args.input_format,
         args.edition,
-        price_mode="const" if args.preset.endswith("day_level") else "strip",
+        price_mode=PRESETS[args.preset].price_mode,
     )
-    write_result(run_preset(tables, args.preset, args.rounds), args.output, args.output_format)
+    forecast = run_preset(tables, args.preset, args.rounds, args.reverse_weeks)
+    write_result(forecast, args.output, args.output_format)
 
 
 if __name__ == "__main__":

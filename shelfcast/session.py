@@ -13,13 +13,21 @@ SETTINGS = {
 }
 
 
-def get_session(app_name="shelfcast", master=None, **extra):
-    """Build (or reuse) a session; `extra` keys use `__` for the dots of a setting name."""
+def get_session(app_name="shelfcast", master=None, partitions=None, **extra):
+    """Build (or reuse) a session; `extra` keys use `__` for the dots of a setting name.
+
+    `partitions` is the number of shuffle partitions before adaptive execution merges small ones,
+    which it never splits: take the largest shuffle's size divided by about 200 MB.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+        key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        builder = builder.config(key, str(partitions))
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

@@ -1,28 +1,30 @@
 """Staged tables: intermediate results written to the cluster's shared checkpoint folder.
 
 A staged table cuts lineage, survives lost executors and is computed once however often it is
-read. The folder is the session's `spark.checkpoint.dir`; where that is unset (tests, a laptop)
-a temporary folder is used. Old stages are left to the retention rule of that folder.
+read. The folder is the session's `spark.checkpoint.dir`; where that is unset, it lies in the
+warehouse, which all executors share as well. clear_stages() removes what a session has staged.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_fallback = None
+_staged = {}
 
 
 def stage_root(spark):
-    global _fallback
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if _fallback is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        _fallback = tempfile.mkdtemp(prefix="shelfcast-")
-    return _fallback
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/stages"
+
+
+def clear_stages(spark):
+    """Remove the stages this process has written in the session; results read from them are gone."""
+    context = spark.sparkContext
+    for path in _staged.pop(context.applicationId, []):
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(df, name="stage"):
@@ -30,4 +32,5 @@ def stage(df, name="stage"):
     spark = SparkSession.active()
     path = f"{stage_root(spark)}/shelfcast-{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)

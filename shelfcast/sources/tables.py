@@ -98,7 +98,8 @@ def write_result(df, path, fmt="parquet", mode="overwrite"):
 def write_fact(df, path, mode="overwrite"):
     """Store a fact table as Parquet in monthly folders, so date ranges prune files.
 
-    Rows of one month are spread over tasks by key and then clustered by month in each task.
+    Each task sorts its rows by month and writes one file per month it holds; repartition `df` first
+    where its tasks are many and small.
     """
     (
         df.withColumn("month", (F.col("data_date") / 100).cast("int"))
@@ -113,6 +114,7 @@ def read_fact(spark, path, lo=None, hi=None):
     """Read a table of write_fact; the range prunes month folders and pushes to the scan."""
     df = spark.read.parquet(path)
     if lo is not None:
-        df = df.filter(F.col("month").between(lo // 100, hi // 100))
-        df = df.filter(F.col("data_date").between(lo, hi))
+        df = df.filter((F.col("month") >= lo // 100) & (F.col("data_date") >= lo))
+    if hi is not None:
+        df = df.filter((F.col("month") <= hi // 100) & (F.col("data_date") <= hi))
     return df.drop("month")

@@ -7,7 +7,7 @@ behaviour <- events, calendars <- orders. Every adapter reads its whole table.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.dates import to_int
+from shelfcast.functions.dates import parse, to_int
 from shelfcast.sources.schemas import CATEGORY_COLUMNS
 from shelfcast.sources.tables import ModelTables
 
@@ -32,11 +32,20 @@ def _goods(key):
     return F.floor(F.col(key) / SKUS_PER_GOODS).cast("bigint")
 
 
-def goodsale(spark, folder, list_price=False):
-    """Sales rows; list_price adds orginal_shop_price, which needs a join with part."""
+def goodsale(spark, folder, list_price=False, lo=None, hi=None):
+    """Sales rows; list_price adds orginal_shop_price, which needs a join with part.
+
+    A range lo..hi of dates is applied to the stored ship date, so it reaches the scan.
+    """
+    lines = _read(spark, folder, "lineitem")
+    kind = lines.schema["l_shipdate"].dataType
+    if lo is not None:
+        lines = lines.filter(F.col("l_shipdate") >= F.lit(parse(lo)).cast(kind))
+    if hi is not None:
+        lines = lines.filter(F.col("l_shipdate") <= F.lit(parse(hi)).cast(kind))
     # The generator keeps date filters above it: pushed below, each comparison of a filter would
     # repeat the conversion. Tables that store data_date do not need this.
-    lines = _read(spark, folder, "lineitem").withColumn(
+    lines = lines.withColumn(
         "data_date", F.explode(F.array(to_int("l_shipdate")))
     )
     sales = lines.select(
@@ -144,9 +153,9 @@ def weather(spark, folder):
     )
 
 
-def model_tables(spark, folder, list_price=False):
+def model_tables(spark, folder, list_price=False, lo=None, hi=None):
     return ModelTables(
-        goodsale=goodsale(spark, folder, list_price),
+        goodsale=goodsale(spark, folder, list_price, lo, hi),
         goods_sku_relation=relation(spark, folder),
         submit_example=submit_example(spark, folder),
         goodsdaily=goodsdaily(spark, folder),

@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from shelfcast.session import get_session  # noqa: E402
+from shelfcast.sources.staging import clear_stages  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,6 +22,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_stages(session)
     session.stop()
 
 

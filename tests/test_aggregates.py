@@ -173,6 +173,15 @@ def test_rank_fusion(spark):
     assert rows(got, "sku_id") == [(1, 1), (2, 3), (3, 2), (4, 1)]
 
 
+def test_missing_scores_take_no_place(spark):
+    scores = spark.createDataFrame(
+        [(1, 1, 0.1, 0.9), (1, 2, None, 0.5), (1, 3, 0.9, 0.1), (1, 4, None, None)],
+        "goods_id long, sku_id long, a double, b double",
+    )
+    got = fuse_ranks(scores, "goods_id", "sku_id", "a", "b").select("sku_id", "fused_rank")
+    assert rows(got, "sku_id") == [(1, 2), (2, None), (3, 1), (4, None)]
+
+
 def test_moments_are_population_and_null_without_spread(spark):
     values = [1.0, 2.0, 2.0, 9.0]
     data = [(0, 1, 1, v) for v in values] + [(0, 1, 2, 4.0), (0, 1, 2, 4.0)]

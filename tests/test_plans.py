@@ -65,3 +65,10 @@ def test_adapters_read_every_row(spark):
     lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
     assert td.goodsale(spark, FOLDER).count() == lines.count()
     assert td.goodsinfo(spark, FOLDER).count() == 50
+
+
+@pytest.mark.parametrize("name", ["window_filter", "day_to_week", "weekly_label"])
+def test_date_ranges_reach_the_scan(spark, name):
+    plan = plan_of(PLAIN[name](spark, FOLDER))
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line and "l_shipdate" in line]
+    assert pushed and all("GreaterThanOrEqual(l_shipdate" in line for line in pushed)

@@ -1,6 +1,9 @@
 import pytest
 from conftest import rows
 
+from shelfcast.plans.forecasts import run_preset
+from shelfcast.plans.models import boosted_trees
+from shelfcast.plans.presets import PRESETS
 from shelfcast.sources import tables as tb
 from shelfcast.sources.staging import stage, stage_root
 
@@ -94,15 +97,35 @@ def csv_folder(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize(
-    "preset", ["share_of_total", "linear_slides", "boosted_granularity", "linear_day_level"]
-)
+@pytest.mark.parametrize("preset", sorted(PRESETS))
 def test_presets_run_from_files_to_forecast(spark, csv_folder, preset):
-    from shelfcast.plans.forecasts import run_preset
-
-    tables = tb.read_model_tables(spark, csv_folder)
+    mode = PRESETS[preset].price_mode
+    tables = tb.read_model_tables(spark, csv_folder, price_mode=mode)
     got = run_preset(tables, preset, rounds=2)
     found = {r.sku_id: r for r in got.collect()}
     assert sorted(found) == list(range(11, 18))
     sold = [v for s, r in found.items() if s != 17 for v in tuple(r)[1:]]
     assert all(v is not None and v >= 0 for v in sold)
+
+
+@pytest.mark.parametrize("name", [n for n, p in PRESETS.items() if p.boosting])
+def test_fits_grow_the_stated_number_of_trees(spark, name):
+    boosting = PRESETS[name].boosting
+    assert boosted_trees(boosting)("week1").getMaxIter() == boosting.rounds
+
+
+def test_weeks_can_be_reversed(spark, csv_folder):
+    tables = tb.read_model_tables(spark, csv_folder)
+    plain = {r.sku_id: tuple(r)[1:] for r in run_preset(tables, "share_of_total").collect()}
+    swapped = run_preset(tables, "share_of_total", reverse=True).collect()
+    assert {r.sku_id: tuple(r)[:0:-1] for r in swapped} == plain
+
+
+@pytest.mark.parametrize(
+    "lo, hi, found",
+    [(None, None, 4), (20170115, None, 3), (None, 20170201, 3), (20170115, 20170201, 2)],
+)
+def test_fact_ranges_may_be_open(spark, tmp_path, lo, hi, found):
+    days = [(20170101,), (20170131,), (20170201,), (20170228,)]
+    tb.write_fact(spark.createDataFrame(days, "data_date int"), str(tmp_path / "fact"))
+    assert tb.read_fact(spark, str(tmp_path / "fact"), lo, hi).count() == found
