@@ -141,7 +141,7 @@ def successors(ids):
         linked = grouped.withColumn("next", F.lead("id").over(inside))
         if low >> GROUP_BITS == high >> GROUP_BITS:
             return linked.select("id", F.coalesce("next", F.lit(high)).alias("next"))
-        heads = grouped.groupBy("in_group").agg(F.max("id").alias("head"))
+        heads = keep(grouped.groupBy("in_group").agg(F.max("id").alias("head")), "heads")
         above = level(
             heads.select(F.col("in_group").alias("id")), low >> GROUP_BITS, high >> GROUP_BITS
         )

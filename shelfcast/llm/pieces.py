@@ -32,7 +32,7 @@ def class_table():
     return table
 
 
-@lru_cache(8)
+@lru_cache(1)
 def _powers(size):
     """Powers of the base and of its inverse, modulo 2**64."""
     inverse = pow(_BASE, -1, 1 << 64)
@@ -53,8 +53,8 @@ def mix(x):
 
 def span_hashes(values, starts, ends):
     """Hash of values[start:end] for many spans at once; equal spans have equal hashes."""
-    size = 1 << max(12, int(len(values)).bit_length())
-    powers, inverses = _powers(size)
+    # One table serves all slices of usual size.
+    powers, inverses = _powers(max(1 << 21, 1 << int(len(values)).bit_length()))
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(mix(values.astype(np.uint64) + np.uint64(1)) * powers[: len(values)], out=sums[1:])
     raw = (sums[ends] - sums[starts]) * inverses[starts]

@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from shelfcast.llm.common import ship, slices
 from shelfcast.llm.pieces import mix
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+# Members of repeat groups that are looked at together; a bound of memory.
+STEP_ROWS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -259,6 +261,16 @@ def _contexts(docs, shared, params, buckets):
     return docs.groupBy("_block").cogroup(shared.groupBy("block")).applyInArrow(cut, kind)
 
 
+def _row_hashes(rows):
+    """64-bit hash of every row of bytes."""
+    padded = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    padded[:, : rows.shape[1]] = rows
+    out = np.zeros(len(rows), np.uint64)
+    for column in padded.view(np.uint64).T:
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + column)
+    return out
+
+
 def interval_tree(lengths, least):
     """Intervals (first, last, length) of common-prefix lengths of at least `least`.
 
@@ -287,44 +299,80 @@ def interval_tree(lengths, least):
     return out
 
 
+def _over_ranges(pick, values, first, last):
+    """pick (minimum or maximum) of values[first:last + 1] for many ranges."""
+    edges = np.stack([first, last + 1], axis=1).ravel()
+    return pick.reduceat(np.append(values, values[:1]), edges)[::2]
+
+
 def maximal_repeats(contexts, before, after, groups, params):
     """Maximal repeats among different contexts of equal anchors.
 
-    Returns arrays: repeat group, context, first column and length; one row per occurrence. An
+    Yields, per column: the column, the contexts in suffix order, and the repeat groups as arrays
+    first, last and length; contexts[order[first : last + 1]] all have the group's string there. An
     interval preceded by the same byte throughout is part of a longer repeat and left out.
     """
     reach, width = params.reach, contexts.shape[1]
     low, high = reach - before.astype(np.int64), reach + after.astype(np.int64)
     found, number = [], 0
-    for column in range(reach + 1):
-        rows = np.flatnonzero((low <= column) & (high >= column + params.length))
+    # Suffixes from the anchor on are sorted once; one byte further left, equal bytes keep the order.
+    right = np.zeros((len(contexts), -(-(width - reach) // 8) * 8), np.uint8)
+    right[:, : width - reach] = contexts[:, reach:]
+    # Where one context ends and others go on with zero bytes, the shorter one comes first.
+    order = np.lexsort([high, *right.view(">u8").T[::-1], groups])
+    for column in range(reach, -1, -1):
+        if column < reach:
+            key = groups * 256 + contexts[:, column]
+            order = order[np.argsort(key[order], kind="stable")]
+        rows = order[((low <= column) & (high >= column + params.length))[order]]
         if len(rows) < 2:
             continue
-        size = -(-(width - column) // 8) * 8
-        suffix = np.zeros((len(rows), size), np.uint8)
-        suffix[:, : width - column] = contexts[rows, column:]
-        words = suffix.view(">u8")
-        order = np.lexsort([*words.T[::-1], groups[rows]])
-        rows, words, suffix = rows[order], words[order], suffix[order]
-        common = np.zeros(len(rows), np.int64)
         same = groups[rows[1:]] == groups[rows[:-1]]
-        near = np.flatnonzero(same & (words[1:, 0] == words[:-1, 0])) + 1
-        differ = suffix[near] != suffix[near - 1]
-        shared = np.where(differ.any(axis=1), differ.argmax(axis=1), size)
+        for ahead in (0, params.length // 2, params.length - 1):
+            same &= contexts[rows[1:], column + ahead] == contexts[rows[:-1], column + ahead]
+        near = np.flatnonzero(same) + 1
+        differ = contexts[rows[near], column:] != contexts[rows[near - 1], column:]
+        shared = np.where(differ.any(axis=1), differ.argmax(axis=1), width - column)
         limit = np.minimum(high[rows[near]], high[rows[near - 1]]) - column
+        common = np.zeros(len(rows), np.int64)
         common[near] = np.minimum(shared, limit)
-        for first, last, length in interval_tree(common, params.length):
-            members = rows[first : last + 1]
-            if column > 0 and (low[members] < column).all():
-                ahead = contexts[members, column - 1]
-                if (ahead == ahead[0]).all():
-                    continue
-            found.append((np.full(len(members), number), members, np.full(len(members), column),
-                          np.full(len(members), length)))
-            number += 1
-    if not found:
-        return [np.zeros(0, np.int64)] * 4
-    return [np.concatenate(c) for c in zip(*found)]
+        intervals = interval_tree(common, params.length)
+        if not intervals:
+            continue
+        first, last, length = np.array(intervals, np.int64).T
+        if column:
+            ahead = np.where(low[rows] < column, contexts[rows, column - 1].astype(np.int16), -1)
+            lowest, highest = (_over_ranges(p, ahead, first, last) for p in (np.minimum, np.maximum))
+            diverse = (lowest < 0) | (lowest != highest)
+            first, last, length = first[diverse], last[diverse], length[diverse]
+        if len(first):
+            yield column, rows, first, last, length
+
+
+def repeated_columns(contexts, before, after, groups, smallest, params):
+    """Runs of columns (context, start, end) that a context of a smaller document has, too."""
+    depth = np.zeros((len(contexts), contexts.shape[1] + 2), np.int16)
+    for column, rows, first, last, length in maximal_repeats(
+        contexts, before, after, groups, params
+    ):
+        mine = smallest[rows]
+        owner = _over_ranges(np.minimum, mine, first, last)
+        best = np.zeros(len(rows), np.int64)
+        sizes = last - first + 1
+        part = (np.cumsum(sizes) - sizes) // STEP_ROWS
+        for chosen in np.split(np.arange(len(first)), np.flatnonzero(np.diff(part)) + 1):
+            steps = sizes[chosen]
+            members = np.repeat(first[chosen] - (np.cumsum(steps) - steps), steps)
+            members += np.arange(len(members))
+            lost = mine[members] > np.repeat(owner[chosen], steps)
+            np.maximum.at(best, members[lost], np.repeat(length[chosen], steps)[lost])
+        hit = np.flatnonzero(best)
+        depth[rows[hit], column + 1] += 1
+        depth[rows[hit], column + 1 + best[hit]] -= 1
+    covered = (np.cumsum(depth, axis=1, dtype=np.int16) > 0).astype(np.int8)
+    change = np.diff(covered, axis=1)
+    (row, start), (_, end) = np.nonzero(change == 1), np.nonzero(change == -1)
+    return row, start, end
 
 
 def _spans(contexts, params, blocks):
@@ -339,38 +387,40 @@ def _spans(contexts, params, blocks):
         names = ["block", "ids", "numbers", "starts", "ends"]
         if not len(ids):
             return _packed(ids, [ids] * 4, names)
-        whole = np.concatenate([context, before.view(np.uint8).reshape(-1, 2), after.view(np.uint8).reshape(-1, 2)], axis=1)
-        keys = np.ascontiguousarray(whole).view(f"V{whole.shape[1]}").ravel()
-        _, sample, which = np.unique(keys, return_index=True, return_inverse=True)
+        sizes = before.astype(np.uint64) << np.uint64(32) | after
+        _, sample, which = np.unique(
+            mix(_row_hashes(context) ^ mix(sizes)), return_index=True, return_inverse=True
+        )
         smallest = np.full(len(sample), np.iinfo(np.int64).max)
         np.minimum.at(smallest, which, ids)
         # Every later occurrence of a whole context goes.
         long = before.astype(int) + after >= params.length
         later = (ids > smallest[which]) & long
         out = [(ids[later], numbers[later], (places - before)[later], (places + after)[later])]
-        anchor = np.ascontiguousarray(context[sample][:, reach : reach + params.anchor])
-        _, group, size = np.unique(
-            anchor.view(f"V{params.anchor}").ravel(), return_inverse=True, return_counts=True
-        )
+        anchor = _row_hashes(context[sample][:, reach : reach + params.anchor])
+        _, group, size = np.unique(anchor, return_inverse=True, return_counts=True)
         several = np.flatnonzero(size[group] > 1)
-        repeat, member, column, length = maximal_repeats(
-            context[sample[several]], before[sample[several]], after[sample[several]], group[several], params
+        # The first document of a context loses what an even smaller one has.
+        member, start, end = repeated_columns(
+            context[sample[several]],
+            before[sample[several]],
+            after[sample[several]],
+            group[several],
+            smallest[several],
+            params,
         )
-        if len(repeat):
+        if len(member):
             member = several[member]
-            owner = np.full(repeat.max() + 1, np.iinfo(np.int64).max)
-            np.minimum.at(owner, repeat, smallest[member])
-            # The first document of a context loses what an even smaller one has.
-            lost = smallest[member] > owner[repeat]
-            member, column, length = member[lost], column[lost], length[lost]
-            first = np.flatnonzero((ids == smallest[which]))
+            first = np.flatnonzero(ids == smallest[which])
             order = first[np.argsort(which[first], kind="stable")]
             begin = np.searchsorted(which[order], member, "left")
             steps = np.searchsorted(which[order], member, "right") - begin
             hits = np.repeat(begin - (np.cumsum(steps) - steps), steps) + np.arange(steps.sum())
             rows = order[hits]
-            start = places[rows] - reach + np.repeat(column, steps)
-            out.append((ids[rows], numbers[rows], start, start + np.repeat(length, steps)))
+            origin = places[rows] - reach
+            out.append(
+                (ids[rows], numbers[rows], origin + np.repeat(start, steps), origin + np.repeat(end, steps))
+            )
         ids, numbers, starts, ends = [np.concatenate(c) for c in zip(*out)]
         # Spans of one document that overlap become one.
         order = np.lexsort((starts, numbers, ids))

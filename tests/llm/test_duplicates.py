@@ -159,11 +159,11 @@ def test_maximal_repeats_hold_all_occurrences():
     text = [b"abcXYZdef", b"abcXYZdeg", b"zbcXYZdxx"]
     contexts = np.frombuffer(b"".join(text), np.uint8).reshape(3, 9)
     sizes = np.full(3, 3), np.full(3, 6)
-    group, member, column, length = maximal_repeats(contexts, *sizes, np.zeros(3, int), params)
-    found = {}
-    for g, m, c, n in zip(group, member, column, length):
-        found.setdefault((int(g), int(c), int(n)), set()).add(int(m))
-    assert sorted((k[1:], v) for k, v in found.items()) == [((0, 8), {0, 1}), ((1, 6), {0, 1, 2})]
+    found = []
+    for column, rows, *groups in maximal_repeats(contexts, *sizes, np.zeros(3, int), params):
+        for first, last, length in zip(*groups):
+            found.append(((column, int(length)), set(rows[first : last + 1].tolist())))
+    assert sorted(found) == [((0, 8), {0, 1}), ((1, 6), {0, 1, 2})]
 
 
 def test_array_kernels():
