@@ -129,17 +129,19 @@ def successors(ids):
     """id and next (the next smaller id; after the smallest comes the largest) of distinct ids.
 
     Ids are ordered inside groups of neighbouring ids, then the groups in the same way, so no task
-    holds more than one group of 4096 ids.
+    holds more than two groups of 4096 ids.
     """
     low, high = ids.agg(F.min("id"), F.max("id")).first()
     if low is None:
         return ids.select("id", F.col("id").alias("next"))
 
     def level(part, low, high):
-        grouped = part.select("id", F.shiftright("id", GROUP_BITS).alias("in_group"))
+        last_level = high - low < 2 << GROUP_BITS
+        group = F.lit(0) if last_level else F.shiftright("id", GROUP_BITS)
+        grouped = part.select("id", group.alias("in_group"))
         inside = Window.partitionBy("in_group").orderBy(F.desc("id"))
         linked = grouped.withColumn("next", F.lead("id").over(inside))
-        if low >> GROUP_BITS == high >> GROUP_BITS:
+        if last_level:
             return linked.select("id", F.coalesce("next", F.lit(high)).alias("next"))
         heads = keep(grouped.groupBy("in_group").agg(F.max("id").alias("head")), "heads")
         above = level(

@@ -131,7 +131,8 @@ def test_templates_accept_optional_and_replaceable_wording():
 def test_phrases_are_counted_at_all_places():
     scanner = lic.LicenseScanner()
     n_words, places, matches = scanner.scan("CC-BY cc by, occ by. All  rights\nreserved cc by-nc")
-    assert (n_words, sorted(places)) == (11, [(0, "cc-by"), (2, "cc-by"), (6, "reserved"), (9, "cc-by")][:4])
+    labels = [(0, "cc-by"), (2, "cc-by"), (6, "reserved"), (9, "cc-by")]
+    assert (n_words, sorted(places)) == (12, labels)
     assert matches == []
     assert scanner.scan("") == (0, [], []) and scanner.scan("état é9")[0] == 2
 
