@@ -13,7 +13,7 @@ from shelfcast.llm import toxicity as tx
 from shelfcast.llm.catalog import QUERIES
 from shelfcast.llm.labelled import balanced_sample, fold
 
-SMALL = tx.ToxicityParams(per_class=200, buckets=1 << 12, epochs=6)
+SMALL = tx.ToxicityParams(per_class=200, buckets=1 << 12, steps=600)
 BRIEF = ql.QualityParams(per_class=200, buckets=1 << 14, epochs=4)
 LABELS = "doc_id long, toxic int, quality int"
 

@@ -234,3 +234,13 @@ def test_pipeline_runs_and_bears_empty_tables(spark, tmp_path):
     for _, stage in pipeline.STAGES[:-1]:
         made = stage(spark, docs.limit(0), FOLDER)
         assert made.columns == docs.columns and made.count() == 0
+
+
+@pytest.mark.parametrize("name", ["op1_minhash_near_dup", "op10_suffix_array_dedup"])
+def test_queries_equal_their_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    found = con.execute(ORACLES[name])
+    names = [d[0] for d in found.description]
+    got = QUERIES[name](spark, FOLDER).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(found.fetchall())
