@@ -5,11 +5,12 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from shelfcast.catalog.oracles import ORACLES
+from shelfcast.catalog.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("part", "orders", "lineitem", "events")
 KEYS = ("window_id", "goods_id", "sku_id", "data_date", "l_orderkey", "l_linenumber", "level")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +35,11 @@ def test_query_equals_sql(spark, duck, name):
     pd.testing.assert_frame_equal(ordered(got), ordered(want), check_exact=True)
 
 
+def test_entry_points_list_all_queries():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_oracles_name_existing_queries():
     assert set(ORACLES) <= set(QUERIES)
     without = {"ols_week_forecast", "ols_day_forecast", "gbt_week_forecast", "select_by_importance"}
