@@ -31,11 +31,14 @@ FROM sets JOIN reach ON reach.a = sets.doc_id GROUP BY sets.doc_id, s"""
 
 SUFFIX_ARRAY = """
 WITH hexed AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+-- Blocks of 1000 starts, since substr() counts from the beginning of its text.
+blocks AS (
+  SELECT doc_id, j, substr(h, 2000 * j + 1, 2098) AS b, len(h) // 2 AS n
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2000 + 1)) AS j FROM hexed)),
 grams AS (
-  SELECT doc_id, unnest(range(0, greatest(len(h) // 2 - 49, 0))) AS k,
-    unnest(list_transform(range(0, greatest(len(h) // 2 - 49, 0)),
-      lambda k: hash(substr(h, 2 * k + 1, 100)))) AS g
-  FROM hexed),
+  SELECT doc_id, 1000 * j + i AS k, hash(substr(b, 2 * i + 1, 100)) AS g
+  FROM (SELECT doc_id, j, b, unnest(range(0, least(1000, greatest(n - 49 - 1000 * j, 0)))) AS i
+    FROM blocks)),
 first_of AS (SELECT g, min(doc_id) AS first FROM grams GROUP BY g),
 lost AS (SELECT doc_id, k FROM grams JOIN first_of USING (g) WHERE first < doc_id),
 -- Starts in order; a span ends where the next start lies more than 50 bytes on.
