@@ -82,6 +82,41 @@ def test_thresholds_follow_the_language(insults):
     assert set(model.thresholds) == {"en", "de"}
 
 
+def test_thresholds_do_not_depend_on_the_balance_of_the_sample():
+    """Overlapping scores: the natural sample (a tenth toxic), and a balanced one of the same."""
+
+    class Fixed:
+        def __init__(self):
+            self.params, self.thresholds = SMALL, {}
+
+        def score(self, rows):
+            return len(rows) / 100
+
+    rng = np.random.default_rng(5)
+    toxic = np.clip(rng.normal(45, 15, 500), 1, 99).astype(int).tolist()
+    clean = np.clip(rng.normal(20, 12, 4500), 1, 99).astype(int).tolist()
+
+    def sample(clean):
+        return [("w " * n, y, "en") for y, many in ((1, toxic), (0, clean)) for n in many]
+
+    natural = tx.calibrate(Fixed(), sample(clean)).thresholds["en"]
+    assert tx.calibrate(Fixed(), sample(clean), 0.1).thresholds["en"] == natural
+    even = tx.calibrate(Fixed(), sample(sorted(clean)[4::9]), 0.1).thresholds["en"]
+    assert even == pytest.approx(natural, abs=0.03)
+    assert tx.calibrate(Fixed(), sample(sorted(clean)[4::9])).thresholds["en"] < natural - 0.1
+
+
+def test_fitted_thresholds_know_the_true_share(spark, monkeypatch):
+    got = []
+    monkeypatch.setattr(tx, "train", lambda sample, params, prior: tx.new_model(params))
+    monkeypatch.setattr(tx, "calibrate", lambda model, sample, prior=None: got.append((sample, prior)))
+    docs = spark.createDataFrame([(k, "x", "en") for k in range(400)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k % 10 == 0), 1) for k in range(400)], LABELS)
+    params = tx.ToxicityParams(per_class=40, buckets=1 << 8)
+    tx.fit_toxicity(docs, labels, params=params)
+    assert got[0][1] == pytest.approx(0.1) and np.mean([y for _, y, _ in got[0][0]]) > 0.3
+
+
 def test_quality_knows_noise(junk):
     model = ql.train(junk[:350], BRIEF, 0.5)
     scores = ql.scores([t for t, _ in junk[350:]], model)
