@@ -3,11 +3,12 @@
 Each table hashes a vector by floors of random projections. A query visits buckets in the order of
 the probability that a neighbour at the usual distance lies there, until the tables together
 would find it with the wanted probability. Buckets are dealt to blocks of bounded size; a query
-travels once to each block that holds one of its buckets, and only its best rows leave it.
+travels once to each block that holds one of its buckets, and only its best rows leave it. Queries
+left with too few rows, or with rows farther away than the index is tuned for, search again.
 """
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -44,6 +45,7 @@ class Hashing:
     radius: float
     axes: np.ndarray  # tables x dimension x functions
     shifts: np.ndarray  # tables x functions
+    wide_share: float = 0.0  # of the sampled pairs, within twice the radius
 
     def places(self, vectors):
         """Projections in units of bucket widths: tables x vectors x functions."""
@@ -93,7 +95,7 @@ def fit_hashing(vectors, rows, params):
     """
     vectors = np.asarray(vectors, float)
     dimension = vectors.shape[1] if vectors.ndim == 2 and len(vectors) else 1
-    radius = 0.0
+    radius = wide_share = 0.0
     if len(vectors) > 1:
         ask = vectors[: max(2, min(200, len(vectors)))]
         squares = (ask**2).sum(1)[:, None] + (vectors**2).sum(1)[None] - 2 * ask @ vectors.T
@@ -102,10 +104,11 @@ def fit_hashing(vectors, rows, params):
         radius = float(np.quantile(distances[:, rank], 0.75))
         if radius <= 1e-9:
             radius = float(distances.max())
+        wide_share = float((distances <= 2 * radius).mean())
     rng = np.random.default_rng(params.seed)
     axes = rng.normal(size=(params.tables, dimension, params.functions))
     shifts = rng.uniform(size=(params.tables, params.functions))
-    return Hashing(params, radius or 1.0, axes, shifts)
+    return Hashing(params, radius or 1.0, axes, shifts, wide_share)
 
 
 def usable_vectors(table, key="vec_id", vector="embedding"):
@@ -141,6 +144,10 @@ def nearest(table, is_query, params=SearchParams(), key="vec_id", vector="embedd
     candidate. Rows that usable_vectors() leaves out take no part; an empty table gives no rows.
     Equal vectors are indexed once, with the k + 1 smallest of their ids, so that a vector shared by
     many rows is no hot bucket and no row is lost.
+    A query with fewer than k rows (where there are as many candidates), or whose k-th row is farther
+    away than the usual distance, is searched again with twice that distance, and where this
+    does not do either, in all blocks, which is exact. Where twice the distance holds so many rows
+    that all tables together would read more than the whole table, all blocks are searched at once.
     """
     ship(table.sparkSession)
     rows = usable_vectors(table, key, vector).select(
@@ -157,8 +164,75 @@ def nearest(table, is_query, params=SearchParams(), key="vec_id", vector="embedd
     count = classes.count()
     sample = classes.orderBy("one", "two").limit(params.sample).select("vec").collect()
     hashing = fit_hashing([r["vec"] for r in sample], count, params)
-    shared = table.sparkSession.sparkContext.broadcast(hashing)
     n_blocks = max(1, math.ceil(count / params.block_rows))
+    queries = keep(rows.where(is_query).select("id", "vec").dropDuplicates(["id", "vec"]), "queries")
+    k = params.k
+    # Candidates of a query, as far as k.
+    wanted = classes.select(F.explode("ids").alias("id")).distinct().limit(k + 1).count() - 1
+    wide = [replace(hashing, radius=2 * hashing.radius)] if params.tables * hashing.wide_share < 1 else []
+    found = keep(_best(_in_buckets(classes, queries, hashing, n_blocks), k), "found")
+    radius = hashing.radius
+    for wider in [*wide, None]:
+        reached = found.groupBy(F.col("query_id").alias("id")).agg(
+            F.count("*").alias("n"), F.max("score").alias("far")
+        )
+        short = queries.join(reached, "id", "left").where(
+            (F.coalesce("n", F.lit(0)) < wanted) | (F.col("far") > radius)
+        )
+        short = keep(short.select("id", "vec"), "short")
+        if short.isEmpty():
+            break
+        if wider is None:
+            more = _in_all_blocks(classes, short, n_blocks, params)
+        else:
+            more = _in_buckets(classes, short, wider, n_blocks)
+            radius = wider.radius
+        found = keep(_best(found.select("query_id", "vec_id", "score").union(more), k), "found")
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def _best(found, k):
+    """The k nearest of the rows (query_id, vec_id, score), with their rank."""
+    merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+KEYS = ["table_no", "block", "part"]
+# Queries of one task that lists buckets; kept tables are read in few large parts.
+TASK_QUERIES = 256
+
+
+def _in_all_blocks(classes, queries, n_blocks, params):
+    """query_id, vec_id and score of the k nearest rows in each block, of all rows.
+
+    A group meets block_rows rows and about as many queries.
+    """
+    parts = max(1, math.ceil(queries.count() / params.block_rows))
+    bucket = F.lit(0).cast("long")
+    stored = classes.select(
+        F.lit(0).alias("table_no"),
+        F.pmod(F.xxhash64("one", "two"), F.lit(n_blocks)).alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
+        "ids",
+        "vec",
+        bucket.alias("bucket"),
+    )
+    asked = queries.select(
+        F.lit(0).alias("table_no"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("block"),
+        F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"),
+        "id",
+        F.col("vec").alias("query_vec"),
+        F.array(bucket).alias("buckets"),
+    )
+    return _searched(asked, stored, params.k)
+
+
+def _in_buckets(classes, queries, hashing, n_blocks):
+    """query_id, vec_id and score of the k nearest rows in each block, of the buckets visited."""
+    params = hashing.params
+    shared = classes.sparkSession.sparkContext.broadcast(hashing)
 
     def index(batches):
         fitted = shared.value
@@ -210,18 +284,21 @@ def nearest(table, is_query, params=SearchParams(), key="vec_id", vector="embedd
     stored = indexed.join(parts, ["table_no", "block"]).select(
         "*", F.pmod(F.xxhash64(F.col("ids")[0]), "parts").cast("int").alias("part")
     )
-    queries = rows.where(is_query).select("id", "vec").dropDuplicates(["id", "vec"])
+    tasks = max(1, math.ceil(queries.count() / TASK_QUERIES))
     asked = (
-        queries.mapInArrow(
+        queries.repartition(tasks, "id")
+        .mapInArrow(
             visits, "id long, vec array<double>, table_no int, block long, buckets array<long>"
         )
         .join(parts, ["table_no", "block"])
         .select("*", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
     )
-    keys = ["table_no", "block", "part"]
-    asked = asked.select(*keys, "id", F.col("vec").alias("query_vec"), "buckets")
-    stored = stored.select(*keys, "ids", "vec", "bucket")
-    k = params.k
+    asked = asked.select(*KEYS, "id", F.col("vec").alias("query_vec"), "buckets")
+    return _searched(asked, stored.select(*KEYS, "ids", "vec", "bucket"), params.k)
+
+
+def _searched(asked, stored, k):
+    """query_id, vec_id and score of the k nearest rows that each query finds in each group."""
 
     def search(_, ask, hold):
         if not len(ask) or not len(hold):
@@ -257,14 +334,8 @@ def nearest(table, is_query, params=SearchParams(), key="vec_id", vector="embedd
                 best.append((query, vec_id, score))
         return pd.DataFrame(best, columns=["query_id", "vec_id", "score"])
 
-    by_block = asked.groupBy(*keys).cogroup(stored.groupBy(*keys))
-    found = by_block.applyInPandas(
-        search, "query_id long, vec_id long, score double"
-    )
-    merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    by_block = asked.groupBy(*KEYS).cogroup(stored.groupBy(*KEYS))
+    return by_block.applyInPandas(search, "query_id long, vec_id long, score double")
 
 
 def _extended(batch, number, block, bucket):

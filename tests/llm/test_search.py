@@ -68,6 +68,26 @@ def test_equal_vectors_and_bad_vectors(spark):
     assert [(r["rank"], r.vec_id) for r in few] in ([(1, 100), (2, 101)], [(1, 101), (2, 100)])
 
 
+@pytest.mark.parametrize("spread", [1e-5, 0.02])
+def test_sparse_regions_of_skewed_vectors(spark, spread):
+    """Nine tenths of the vectors in tight clusters; the others find all their neighbours, too."""
+    rng = np.random.default_rng(6)
+    middle = rng.normal(size=(6, 16))
+    tight = middle[np.arange(540) % 6] + rng.normal(size=(540, 16)) * spread
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([tight, rng.normal(size=(60, 16)) * 3]))]
+    asked = [0, 7, *range(540, 560)]
+    found = {}
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for r in nearest(table, F.col("id").isin(asked), SearchParams(block_rows=64)).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert set(found) == set(asked)
+    for query in asked[2:]:
+        wanted = exact_nearest(rows, query)
+        assert [i for _, i, _ in sorted(found[query])] == [i for i, _ in wanted]
+        assert [s for *_, s in sorted(found[query])] == pytest.approx([s for _, s in wanted])
+    assert all(len(found[query]) == 10 for query in asked)
+
+
 def edits(rows):
     """Edited text of each (doc_id, text), unique ids."""
     rows, out = sorted(rows, reverse=True), {}
