@@ -12,11 +12,13 @@ from helpers import (
     empty,
     with_clashes,
 )
+from pyspark.sql import functions as F
 
 from shelfcast.llm.catalog import QUERIES
 from shelfcast.llm.graph import connected_components
 from shelfcast.llm.near_dup import (
     NearDupParams,
+    _distinct_buckets,
     drop_near_duplicates,
     near_duplicates,
     super_min_hash,
@@ -177,3 +179,14 @@ def test_array_kernels():
     for size in (1, 2, 7, 27):
         wanted = [numbers[k : k + size].min() for k in range(301 - size)]
         assert sliding(numbers, size, np.minimum).tolist() == wanted
+
+
+def test_buckets_whose_short_sums_agree_stay_apart(spark):
+    """The 40-bit hashes of the members of buckets 1 and 2 have the same sum."""
+    buckets = {1: [38, 147, 160], 2: [98, 127, 265], 3: [38, 147, 160], 4: [7, 8, 8], 5: [7, 9, 9]}
+    rows = [(b, min(ids), i) for b, ids in buckets.items() for i in ids]
+    table = spark.createDataFrame(rows, "bucket long, hub long, id long")
+    short = F.sum(F.pmod(F.xxhash64("id"), F.lit((1 << 40) - 87))).alias("sum")
+    sums = {r.bucket: r["sum"] for r in table.groupBy("bucket").agg(short).collect()}
+    assert sums[1] == sums[2]
+    assert sorted(r.bucket for r in _distinct_buckets(table).collect()) == [1, 2, 4, 5]
