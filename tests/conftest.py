@@ -51,7 +51,3 @@ def relation(spark):
     return spark.createDataFrame(
         [(1, 11), (1, 12), (1, 13), (2, 21), (3, 31)], "goods_id long, sku_id long"
     )
-
-
-def rows(df, *order):
-    return [tuple(r) for r in df.orderBy(*order).collect()]

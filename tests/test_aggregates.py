@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from shelfcast.operators import ordered

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from support import rows
 
 from shelfcast.operators import calendar as cal
 from shelfcast.operators.windows import WindowSpec

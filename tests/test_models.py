@@ -6,7 +6,7 @@ from shelfcast.functions.numeric import WEEKS
 from shelfcast.plans import models
 from shelfcast.plans.presets import PRESETS, Boosting
 
-QUICK = Boosting(0.3, 3, 100, spark_rounds=8)
+QUICK = Boosting(0.3, 3, 8)
 
 
 @pytest.fixture(scope="module")

@@ -1,4 +1,4 @@
-from conftest import rows
+from support import rows
 
 from shelfcast.functions import numeric as nm
 from shelfcast.functions.prices import parse_price, parse_price_const

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from support import rows
 
 from shelfcast.plans.forecasts import run_preset
 from shelfcast.plans.models import boosted_trees

@@ -1,4 +1,4 @@
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from shelfcast.functions import dates as d
