@@ -2,8 +2,8 @@
 
 The splitting pattern is a rule about neighbouring character classes: runs of letters, digits or
 other characters, each with one space before it; an apostrophe ending such as 's; and white space.
-Pieces are named by a 64-bit hash of their characters and length, so that a piece seen before
-costs one lookup.
+Pieces of one slice are grouped by a 64-bit hash of their characters and then compared character by
+character, so that equal pieces are computed once and a hash alone decides nothing.
 """
 
 from functools import lru_cache
@@ -52,7 +52,11 @@ def mix(x):
 
 
 def span_hashes(values, starts, ends):
-    """Hash of values[start:end] for many spans at once; equal spans have equal hashes."""
+    """Hash of values[start:end] for many spans at once; equal spans have equal hashes.
+
+    A linear polynomial: unequal spans of some regular texts share a hash. It serves as a group to be
+    compared and as an index of hashed weights; keyed_hashes() tells spans apart.
+    """
     # One table serves all slices of usual size.
     powers, inverses = _powers(max(1 << 21, 1 << int(len(values)).bit_length()))
     sums = np.zeros(len(values) + 1, np.uint64)
@@ -61,6 +65,51 @@ def span_hashes(values, starts, ends):
     return mix(raw ^ ((ends - starts).astype(np.uint64) << np.uint64(40)))
 
 
+def _flat(starts, ends):
+    """Positions of all spans one after the other, and where each span begins among them."""
+    sizes = ends - starts
+    at = np.append(0, np.cumsum(sizes))
+    return np.arange(at[-1]) + np.repeat(starts - at[:-1], sizes), at
+
+
+def keyed_hashes(values, starts, ends, seed):
+    """64-bit hash of values[start:end] per span: a sum of scrambled (place, value) pairs.
+
+    Places and values enter a one-to-one scrambling together, so that no regular text makes sums
+    meet; two unequal spans share a hash once in 2**64.
+    """
+    flat, at = _flat(starts, ends)
+    place = (np.arange(len(flat)) - np.repeat(at[:-1], ends - starts)).astype(np.uint64)
+    key = np.uint64((seed * 0x9E3779B97F4A7C15 + 0x2545F4914F6CDD1D) & (2**64 - 1))
+    pairs = mix((place << np.uint64(21)) + values[flat].astype(np.uint64) ^ key)
+    sums = np.zeros(len(flat) + 1, np.uint64)
+    np.cumsum(mix(pairs + key), out=sums[1:])
+    return mix(sums[at[1:]] - sums[at[:-1]] + (ends - starts).astype(np.uint64) * _MIX)
+
+
+def equal_spans(values, starts, ends):
+    """A sample span of each group of equal spans, and the group of every span."""
+    _, sample, which = np.unique(
+        span_hashes(values, starts, ends), return_index=True, return_inverse=True
+    )
+    like = sample[which]
+    other = (ends - starts) != (ends - starts)[like]
+    like = np.where(other, np.arange(len(like)), like)
+    flat, at = _flat(starts, ends)
+    differs = values[flat] != values[flat - np.repeat(starts - starts[like], ends - starts)]
+    sums = np.append(0, np.cumsum(differs))
+    other |= sums[at[1:]] > sums[at[:-1]]
+    strays = np.flatnonzero(other)
+    if len(strays):
+        groups = {}
+        for k in strays.tolist():
+            group = groups.setdefault(values[starts[k] : ends[k]].tobytes(), len(groups))
+            which[k] = len(sample) + group
+        first = {which[k]: k for k in strays[::-1].tolist()}
+        sample = np.append(sample, [first[len(sample) + g] for g in range(len(groups))])
+    return sample, which
+
+
 def code_points(texts):
     """Code points of the texts, an edge before each and at the end; starts of the texts."""
     edge = np.array([EDGE_MARK], np.uint32)
@@ -123,17 +172,17 @@ class PieceValues:
         """Values of all pieces of the texts in order, and the pieces' bounds of each text."""
         points, text_starts = code_points(texts)
         starts, ends = cut(points)
-        names, sample, which = np.unique(
-            span_hashes(points, starts, ends), return_index=True, return_inverse=True
-        )
-        names, known = names.tolist(), self.known
+        sample, which = equal_spans(points, starts, ends)
+        names = [
+            points[s:e].tobytes() for s, e in zip(starts[sample].tolist(), ends[sample].tolist())
+        ]
+        known = self.known
         values = list(map(known.get, names))
         missing = [k for k, v in enumerate(values) if v is None]
         if len(known) + len(missing) > self.limit:
             known.clear()
         for k in missing:
-            s, e = starts[sample[k]], ends[sample[k]]
-            values[k] = self.compute(points[s:e].tobytes().decode("utf-32-le").encode())
+            values[k] = self.compute(names[k].decode("utf-32-le").encode())
             if len(known) < self.limit:
                 known[names[k]] = values[k]
         bounds = np.append(np.searchsorted(starts, text_starts), len(starts))
