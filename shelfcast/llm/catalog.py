@@ -4,7 +4,9 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from shelfcast.llm import oracles
+from shelfcast.llm.alignment import align_digest
 from shelfcast.llm.bpe_codec import round_trip
+from shelfcast.llm.collocations import collocations
 from shelfcast.llm.common import documents, table
 from shelfcast.llm.fingerprints import compare_with_edits
 from shelfcast.llm.labelled import fold
@@ -14,10 +16,12 @@ from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.nearest import nearest
 from shelfcast.llm.quality import fit_quality, score_quality
 from shelfcast.llm.repeats import repeat_digest
+from shelfcast.llm.secret_scan import fit_secrets, scan_secrets
 from shelfcast.llm.token_counts import count_tokens
 from shelfcast.llm.toxicity import fit_toxicity, score_toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 TOKEN_LIMIT = 512
 
 
@@ -93,6 +97,23 @@ def op10_suffix_array_dedup(spark, sf_dir):
     return repeat_digest(documents(spark, sf_dir))
 
 
+def op11_collocations(spark, sf_dir):
+    """The first 2000 phrases of every language by the strength of their weakest cut."""
+    return collocations(documents(spark, sf_dir, "lang", "text"))
+
+
+def op12_secret_scans(spark, sf_dir):
+    """Secrets of all documents: those of the patterns and those the random field adds."""
+    docs = documents(spark, sf_dir)
+    return scan_secrets(docs, fit_secrets(docs))
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    """How the tokens of two tokenizers meet in every document, with corpus-wide pair counts."""
+    paths = public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES)
+    return align_digest(documents(spark, sf_dir), *paths)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -106,6 +127,9 @@ QUERIES = {
         op8_nearest_neighbours,
         op9_license_scans,
         op10_suffix_array_dedup,
+        op11_collocations,
+        op12_secret_scans,
+        op13_tokenizer_alignment,
     )
 }
 
@@ -113,4 +137,5 @@ ORACLES = {
     "op1_minhash_near_dup": oracles.NEAR_DUPLICATES,
     "op9_license_scans": oracles.license_sql(PHRASES),
     "op10_suffix_array_dedup": oracles.SUFFIX_ARRAY,
+    "op11_collocations": oracles.COLLOCATIONS,
 }

@@ -63,6 +63,41 @@ SELECT doc_id, (len(hexed.h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIG
 FROM hexed JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)"""
 
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex({LOWERED}, '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents)),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM places CROSS JOIN (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)),
+counted AS (SELECT lang, k, phrase, count(*) AS n FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(n) AS total FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counted WHERE k > 1 AND n >= 100),
+absorbed AS (
+  SELECT DISTINCT p.lang, p.phrase FROM candidates p JOIN candidates q
+  ON p.lang = q.lang AND q.k > p.k AND 100 * q.n >= 100 * p.n
+    AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' ')),
+cuts AS (
+  SELECT lang, phrase, n AS a, j, array_to_string(w[1:j], ' ') AS lhs,
+    array_to_string(w[j + 1:], ' ') AS rhs
+  FROM (SELECT lang, phrase, n, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS j
+    FROM candidates ANTI JOIN absorbed USING (lang, phrase))),
+scored AS (
+  SELECT cuts.*, p.n AS l, q.n AS r, total,
+    (1000::HUGEINT * a * total) // (p.n::HUGEINT * q.n) AS score
+  FROM cuts JOIN counted p ON p.lang = cuts.lang AND p.phrase = lhs
+  JOIN counted q ON q.lang = cuts.lang AND q.phrase = rhs JOIN totals ON totals.lang = cuts.lang),
+best AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, total::BIGINT AS n,
+  score::BIGINT AS score
+FROM best QUALIFY rank <= 2000"""
+
+
 def _places(phrase):
     """SQL list of the starts of a phrase among the words."""
     parts = [f"w[i + {k}] = '{word}'" for k, word in enumerate(phrase.split(), 1)]
