@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from shelfcast.llm.common import keep, record_batch, ship, slices, texts
 from shelfcast.llm.pieces import keyed_hashes, mix
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # Rows a task holds before it hands them on.
-HELD_ROWS = 400_000
+HELD_ROWS = 150_000
 # Fixed value: what stands in for a missing language.
 NO_LANGUAGE = "und"
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
