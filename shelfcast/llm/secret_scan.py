@@ -297,42 +297,53 @@ def _redrawn(text, spans, rng):
     return "".join(out)
 
 
-def fit_tagged(many, params=SecretParams()):
-    """Fit the field on texts tagged by the fixed patterns, by stochastic gradients in numpy.
+def _chains(many, params, rng):
+    """Feature numbers (chains x window x features) and tags of the chains of some texts.
 
     Each text with secrets is learned a second time with redrawn ones.
     """
-    many, rng = list(many), np.random.default_rng(params.seed)
-    weights = np.zeros((params.size + 1, 3))
-    moves = _no_moves()
     marked = [[(secret, end) for _, _, end, secret in base_spans(text)] for text in many]
+    many = list(many)
     for k in [k for k, spans in enumerate(marked) if spans]:
         many.append(_redrawn(many[k], marked[k], rng))
         marked.append(marked[k])
     tokens = Tokens(many, params.size)
     tags = tokens.tags([(k, *span) for k, spans in enumerate(marked) for span in spans])
-    first = _windows(tokens, tags, params, rng)
-    if not len(first) or not tags.any():
-        weights[:, BEGIN:] = NEVER  # nothing to learn from: no learned spans
-        return SecretModel(params, weights[:-1].astype(np.float32), moves)
+    first = np.maximum(_windows(tokens, tags, params, rng), 0)
+    if not len(first):
+        return np.zeros((0, params.window, len(FEATURES)), np.int32), np.zeros((0, params.window), np.int8)
     # Steps beyond the slice, or in another text than the window's last one, are outside.
-    last = np.minimum(np.maximum(first, 0) + params.window - 1, len(tags) - 1)
-    text = tokens.text[last]
-    places = np.maximum(first, 0)[:, None] + np.arange(params.window)
-    inside = (places < len(tags)) & (tokens.text[np.minimum(places, len(tags) - 1)] == text[:, None])
+    text = tokens.text[np.minimum(first + params.window - 1, len(tags) - 1)]
+    places = first[:, None] + np.arange(params.window)
+    inside = places < len(tags)
     places = np.minimum(places, len(tags) - 1)
-    chains = np.where(inside[:, :, None], tokens.features[:, places].transpose(1, 2, 0), params.size)
-    wanted = np.where(inside, tags[places], OUTSIDE).astype(np.int64)
+    inside &= tokens.text[places] == text[:, None]
+    chains = tokens.features[:, places].transpose(1, 2, 0)
+    wanted = np.where(inside, tags[places], OUTSIDE).astype(np.int8)
     # A secret that is cut by the window's start begins there.
     wanted[:, 0] = np.where(wanted[:, 0] == INSIDE, BEGIN, wanted[:, 0])
     broken = (wanted[:, 1:] == INSIDE) & (wanted[:, :-1] == OUTSIDE)
     wanted[:, 1:][broken] = BEGIN
+    return np.where(inside[:, :, None], chains, params.size).astype(np.int32), wanted
+
+
+def fit_tagged(many, params=SecretParams()):
+    """Fit the field on texts tagged by the fixed patterns, by stochastic gradients in numpy."""
+    rng = np.random.default_rng(params.seed)
+    weights = np.zeros((params.size + 1, 3))  # the last row stands for no feature
+    moves = _no_moves()
+    parts = [_chains(many[k : k + 100], params, rng) for k in range(0, len(many), 100)]
+    if not any(wanted.any() for _, wanted in parts):
+        weights[:, BEGIN:] = NEVER  # nothing to learn from: no learned spans
+        return SecretModel(params, weights[:-1].astype(np.float32), moves)
+    chains, wanted = (np.concatenate(p) for p in zip(*parts))
+    del parts
     squares, move_squares = np.full_like(weights, 1e-6), np.full((3, 3), 1e-6)
     for _ in range(params.rounds):
         order = rng.permutation(len(chains))
         for k in range(0, len(order), params.batch):
             part = order[k : k + params.batch]
-            ids, truth = chains[part].copy(), wanted[part]
+            ids, truth = chains[part], wanted[part].astype(np.int64)
             hide = rng.random(truth.shape) < params.hidden
             for f in WORDLY:
                 ids[:, :, f][hide] = params.size
@@ -469,13 +480,18 @@ def fit_secrets(docs, params=SecretParams()):
     bounded = docs.select("text").where(
         F.col("text").isNotNull() & (F.length("text") <= params.max_chars)
     )
-    hinted = bounded.withColumn("hinted", F.col("text").rlike(HINTS))
-    order = F.xxhash64("text")
-    chosen = []
-    for value in (True, False):
-        part = hinted.where(F.col("hinted") == value).select("text", order.alias("order"))
-        rows = part.distinct().orderBy("order", "text").limit(params.per_class).collect()
-        chosen += [r["text"] for r in rows]
+    hinted = bounded.select(
+        "text", F.xxhash64("text").alias("order"), F.col("text").rlike(HINTS).alias("hinted")
+    )
+    orders = hinted.select("hinted", "order").distinct()
+    parts = [
+        orders.where(F.col("hinted") == value).orderBy("order").limit(params.per_class)
+        for value in (True, False)
+    ]
+    # At most 2 * per_class numbers; copies of a text are one.
+    picked = hinted.join(F.broadcast(parts[0].union(parts[1])), ["hinted", "order"])
+    rows = picked.groupBy("hinted", "order").agg(F.min("text").alias("text"))
+    chosen = [r["text"] for r in sorted(rows.collect(), key=lambda r: (r["hinted"], r["order"]))]
     return fit_tagged(chosen, params)
 
 
