@@ -427,7 +427,7 @@ class SecretScanner:
     def learned_spans(self, many):
         """(start, end) of the spans the field finds in each text, in code points.
 
-        Texts follow each other in one chain with an outside token between them.
+        Texts follow each other in one chain, each with an outside token after it.
         """
         params = self.model.params
         tokens = Tokens(many, params.size)
@@ -437,11 +437,9 @@ class SecretScanner:
             scores += self.model.weights[row]
         # A margin in favour of outside keeps doubtful spans out.
         scores[:, BEGIN] -= params.margin
-        chained = np.insert(scores, tokens.bounds[1:-1], [0.0, NEVER, NEVER], axis=0)
+        chained = np.insert(scores, tokens.bounds[1:], [0.0, NEVER, NEVER], axis=0)
         tags = viterbi(chained, self.model.moves, params.block)
-        keep = np.ones(len(chained), bool)
-        keep[tokens.bounds[1:-1] + np.arange(len(tokens.bounds) - 2)] = False
-        tags = tags[keep]
+        tags = np.delete(tags, tokens.bounds[1:] + np.arange(len(many)))
         first = np.flatnonzero(tags == BEGIN)
         closed = np.flatnonzero((tags != INSIDE) | (tokens.bounds[tokens.text] == np.arange(n)))
         nexts = np.append(closed, n)[np.searchsorted(closed, first, "right")]

@@ -52,6 +52,24 @@ def test_ids_and_text_are_those_of_the_library(rules, library, texts):
     assert [encoder.decode(p) for p in packed] == decoded == texts
 
 
+def thue_morse(letters, size=1024):
+    word = letters[0]
+    while len(word) < size:
+        word += word.translate(str.maketrans(letters, letters[::-1]))
+    return word
+
+
+def test_words_with_equal_polynomials_are_told_apart(rules, library):
+    pair = [thue_morse("ab"), thue_morse("ba")]
+    wanted = [e.ids for e in library.encode_batch(pair * 2, add_special_tokens=False)]
+    assert wanted[0] != wanted[1]
+    packed = PrefixEncoder(rules).encode_many(pair * 2)
+    assert [np.frombuffer(p, "<u4").tolist() for p in packed] == wanted
+    counter = TokenCounter(rules)
+    assert counter.counts(pair * 2) == [len(ids) for ids in wanted]
+    assert counter.counts(pair[::-1]) == [len(ids) for ids in wanted[1::-1]]
+
+
 def test_broken_characters_are_decoded_like_the_library(rules, library):
     encoder = PrefixEncoder(rules)
     for ids in ([247], [10263], [0, 247, 0], [160, 120]):
