@@ -73,13 +73,26 @@ def record_batch(schema, **columns):
 def keep(df, name):
     """Write `df` to the shared checkpoint folder once and read it back.
 
-    Where `spark.checkpoint.dir` is unset (tests, a notebook) the folder `checkpoints` of the
-    warehouse is used, which all executors share as well.
+    The folder is `spark.checkpoint.dir`. Where it is unset the folder `checkpoints` of the warehouse
+    is used, as long as it is shared: a local one serves a local session only.
     """
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+        local = root.startswith("/") or root.startswith("file:")
+        if local and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{root.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_path = path
+    return kept
+
+
+def discard(*kept):
+    """Remove tables of keep() that no later step reads."""
+    for df in kept:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.kept_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -81,6 +81,34 @@ def test_near_duplicates_bear_awkward_rows(spark):
     assert near_duplicates(empty(spark)).count() == 0
 
 
+def test_all_texts_of_a_repeated_id_are_linked(spark):
+    first, second = ("".join(f"{w}{k} " for k in range(60)) for w in "xy")
+    rows = [
+        (3, first),
+        (3, second),
+        (5, second.replace("y7 ", "z ")),
+        (9, first + "more"),
+        (1, "something else here again"),
+        (7, None),
+        (7, first),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for table in (docs, docs.orderBy("text")):
+        got = near_duplicates(table, NearDupParams(words=4)).collect()
+        assert {(r.doc_id, r.component_id) for r in got} == {(3, 3), (5, 3), (9, 3), (1, 1), (7, 3)}
+
+
+def test_words_with_equal_polynomials_are_told_apart(spark):
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"{word} one two three"), (2, f"{other} one two three")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(docs, NearDupParams(words=4)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2}
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     for size in (1, 4, 40, 400):
