@@ -81,9 +81,9 @@ def keyed_hashes(values, starts, ends, seed):
     flat, at = _flat(starts, ends)
     place = (np.arange(len(flat)) - np.repeat(at[:-1], ends - starts)).astype(np.uint64)
     key = np.uint64((seed * 0x9E3779B97F4A7C15 + 0x2545F4914F6CDD1D) & (2**64 - 1))
-    pairs = mix((place << np.uint64(21)) + values[flat].astype(np.uint64) ^ key)
+    pairs = ((place << np.uint64(21)) + values[flat].astype(np.uint64)) ^ key
     sums = np.zeros(len(flat) + 1, np.uint64)
-    np.cumsum(mix(pairs + key), out=sums[1:])
+    np.cumsum(mix(pairs), out=sums[1:])
     return mix(sums[at[1:]] - sums[at[:-1]] + (ends - starts).astype(np.uint64) * _MIX)
 
 
