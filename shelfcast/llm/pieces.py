@@ -65,7 +65,7 @@ def span_hashes(values, starts, ends):
     return mix(raw ^ ((ends - starts).astype(np.uint64) << np.uint64(40)))
 
 
-def _flat(starts, ends):
+def flat_spans(starts, ends):
     """Positions of all spans one after the other, and where each span begins among them."""
     sizes = ends - starts
     at = np.append(0, np.cumsum(sizes))
@@ -78,7 +78,7 @@ def keyed_hashes(values, starts, ends, seed):
     Places and values enter a one-to-one scrambling together, so that no regular text makes sums
     meet; two unequal spans share a hash once in 2**64.
     """
-    flat, at = _flat(starts, ends)
+    flat, at = flat_spans(starts, ends)
     place = (np.arange(len(flat)) - np.repeat(at[:-1], ends - starts)).astype(np.uint64)
     key = np.uint64((seed * 0x9E3779B97F4A7C15 + 0x2545F4914F6CDD1D) & (2**64 - 1))
     pairs = ((place << np.uint64(21)) + values[flat].astype(np.uint64)) ^ key
@@ -95,7 +95,7 @@ def equal_spans(values, starts, ends):
     like = sample[which]
     other = (ends - starts) != (ends - starts)[like]
     like = np.where(other, np.arange(len(like)), like)
-    flat, at = _flat(starts, ends)
+    flat, at = flat_spans(starts, ends)
     differs = values[flat] != values[flat - np.repeat(starts - starts[like], ends - starts)]
     sums = np.append(0, np.cumsum(differs))
     other |= sums[at[1:]] > sums[at[:-1]]

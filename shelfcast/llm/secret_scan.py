@@ -1,7 +1,8 @@
 """Secret scans: a linear-chain conditional random field beside fixed patterns.
 
-A text is one chain of tokens (runs of letters and digits, or single other characters), each
-outside a secret, at its begin or inside. A token's scores come from its shape, length and characters, the
+Tokens are runs of letters and digits, or single other characters, each outside a secret, at its begin or
+inside. A learned secret has no blanks and a least length, so all tokens elsewhere are outside and
+only those of solid runs of that length are scored, with what stands around them. A token's scores come from its shape, length and characters, the
 words and shapes around it, and features of the whole file; neighbouring tags have scores of their
 own. The field is fitted on the driver on a bounded sample of texts, tagged by the fixed patterns;
 words are hidden at random, so that shapes must do. Decoding is Viterbi over the whole text: chains
@@ -16,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import record_batch, ship, slices, texts
+from shelfcast.llm.common import discard, keep, record_batch, ship, slices, texts
 from shelfcast.llm.pieces import (
     DIGIT,
     EDGE,
@@ -25,6 +26,7 @@ from shelfcast.llm.pieces import (
     SPACE,
     class_table,
     code_points,
+    flat_spans,
     keyed_hashes,
     mix,
 )
@@ -64,7 +66,7 @@ class SecretParams:
     max_chars: int = 20_000
     size: int = 1 << 16
     window: int = 24
-    quiet: int = 6
+    quiet: int = 2
     rounds: int = 6
     batch: int = 256
     rate: float = 0.2
@@ -72,7 +74,7 @@ class SecretParams:
     hidden: float = 0.8
     block: int = 256
     shortest: int = 12
-    margin: float = 0.25
+    margin: float = 0.5
     seed: int = 12
 
 
@@ -114,64 +116,85 @@ WORDLY = (3, 4, 5, 6)
 
 
 class Tokens:
-    """Tokens of the texts of one slice and their feature numbers."""
+    """The tokens of long solid runs of some texts, their feature numbers and their chain.
 
-    def __init__(self, many, size):
+    `line` lists the tokens in order with -1, a token outside, after every run.
+    """
+
+    def __init__(self, many, size, shortest):
         points, self.text_starts = code_points(many)
         kind = class_table()[points]
         word = (kind == LETTER) | (kind == DIGIT)
         begins = word.copy()
         begins[1:] &= ~word[:-1]
         single = kind == OTHER
-        self.starts = np.flatnonzero(begins | single)
-        stops = word.copy()
+        starts = np.flatnonzero(begins | single)
+        stops = word
         stops[:-1] &= ~word[1:]
-        self.ends = np.flatnonzero(stops | single) + 1
+        ends = np.flatnonzero(stops | single) + 1
+        solid = (kind != SPACE) & (kind != EDGE)
+        change = np.diff(solid.astype(np.int8))
+        first, last = np.flatnonzero(change == 1) + 1, np.flatnonzero(change == -1) + 1
+        long = last - first >= shortest
+        run = np.searchsorted(first, starts, "right") - 1
+        chosen = np.flatnonzero(long[run]) if len(run) else run
+        self.starts, self.ends = starts[chosen], ends[chosen]
         self.text = np.searchsorted(self.text_starts, self.starts, "right") - 1
-        self.bounds = np.searchsorted(self.starts, np.append(self.text_starts, len(points)))
-        self.features = self._features(points, kind, len(many), size)
-
-    def _features(self, points, kind, n_texts, size):
-        starts, ends = self.starts, self.ends
-        n, length = len(starts), ends - starts
-        if not n:
-            return np.zeros((len(FEATURES), 0), np.int32)
-        shape = _SHAPE[points]
-        shape[(shape == 4) & (kind == LETTER)] = 3
+        closes = np.flatnonzero(np.diff(np.append(run[chosen], -1)))
+        self.line = np.insert(np.arange(len(chosen)), closes + 1, -1)
+        self.features = np.zeros((len(FEATURES), 0), np.int32)
+        if len(chosen):
+            self.features = self._features(points, kind, starts, ends, chosen, size)
+
+    def _features(self, points, kind, starts, ends, chosen, size):
+        n, length = len(chosen), self.ends - self.starts
+        near = chosen[:, None] + np.arange(-2, 2)
+        near = near[(near >= 0) & (near < len(starts))]
+        need = np.unique(near)
+        flat, at = flat_spans(starts[need], ends[need])
+        letters, kinds = points[flat], kind[flat]
+        shape = _SHAPE[letters]
+        shape[(shape == 4) & (kinds == LETTER)] = 3
         # A shape names each run of one class once; signs stand for themselves.
-        sign = (kind == OTHER) * (points.astype(np.int64) + 8)
-        coded = np.where(kind == OTHER, sign, shape)
-        change = np.ones(len(points), bool)
+        coded = np.where(kinds == OTHER, letters.astype(np.int64) + 8, shape)
+        change = np.ones(len(flat), bool)
         change[1:] = coded[1:] != coded[:-1]
-        first_of = np.zeros(len(points), bool)
-        first_of[starts] = True
-        kept = np.flatnonzero(change | first_of)
-        low, high = np.searchsorted(kept, starts), np.searchsorted(kept, ends)
-        shapes = keyed_hashes(coded[kept], low, high, 7)
-        runs = high - low
-        lowered = points + 32 * (shape == 0)
-        words = keyed_hashes(lowered, starts, np.minimum(ends, starts + _LONGEST_WORD + 1), 9)
-        words[length > _LONGEST_WORD] = 1
-        sums = {
-            c: np.append(0, np.cumsum(shape == c, dtype=np.int64)) for c in (0, 1, 2)
-        }
-        share = [
-            (4 * (sums[c][ends] - sums[c][starts]) // np.maximum(length, 1)) for c in (0, 1, 2)
-        ]
+        change[at[:-1]] = True
+        kept = np.flatnonzero(change)
+        bounds = np.searchsorted(kept, at)
+        stop = np.minimum(at[1:], at[:-1] + _LONGEST_WORD + 1)
+        named = keyed_hashes(letters + 32 * (shape == 0), at[:-1], stop, 9)
+        named[np.diff(at) > _LONGEST_WORD] = 1
+        shapes, words = np.zeros((2, len(starts)), np.uint64)
+        shapes[need] = keyed_hashes(coded[kept], bounds[:-1], bounds[1:], 7)
+        words[need] = named
+        own = np.searchsorted(need, chosen)
+        runs = np.diff(bounds)[own]
+        low, high = at[own], at[own + 1]
+        shares = []
+        for c in (0, 1, 2):
+            sums = np.append(0, np.cumsum(shape == c))
+            shares.append(4 * (sums[high] - sums[low]) // length)
         coarse = np.minimum(length, 40) // 4
-        mixture = ((share[0] * 5 + share[1]) * 5 + share[2]) * 8 + np.minimum(runs, 7)
-        variety = self._variety(points) * 16 + coarse
+        mixture = ((shares[0] * 5 + shares[1]) * 5 + shares[2]) * 8 + np.minimum(runs, 7)
         # Features of the file: its share of signs and its size.
-        signs = np.append(0, np.cumsum(kind == OTHER))
-        solid = np.append(0, np.cumsum((kind != SPACE) & (kind != EDGE)))
         edges = np.append(self.text_starts, len(points))
-        share_of_signs = 16 * np.diff(signs[edges]) // np.maximum(np.diff(solid[edges]), 1)
+        signs = np.append(0, np.cumsum(kind == OTHER))[edges]
+        solid = np.append(0, np.cumsum((kind != SPACE) & (kind != EDGE)))[edges]
+        share_of_signs = 16 * np.diff(signs) // np.maximum(np.diff(solid), 1)
         log_size = np.log2(np.diff(edges) + 1).astype(np.int64)
+
+        def beside(values, by):
+            """The value of the token `by` further on, 0 where that lies in another text."""
+            place = np.clip(chosen + by, 0, len(starts) - 1)
+            other = np.searchsorted(self.text_starts, starts[place], "right") - 1 != self.text
+            return np.where(other | (place != chosen + by), np.uint64(0), values[place])
+
         columns = [
-            np.zeros(n, np.uint64), shapes, np.minimum(length, 48), words,
-            self._shifted(words, 1), self._shifted(words, -1), self._shifted(words, 2),
-            self._shifted(shapes, 1), self._shifted(shapes, -1), mixture, variety,
-            np.minimum(runs, 15) * 16 + coarse,
+            np.zeros(n, np.uint64), shapes[chosen], np.minimum(length, 48), words[chosen],
+            beside(words, -1), beside(words, 1), beside(words, -2),
+            beside(shapes, -1), beside(shapes, 1), mixture,
+            self._variety(points) * 16 + coarse, np.minimum(runs, 15) * 16 + coarse,
             share_of_signs[self.text] * 16 + coarse, log_size[self.text] * 16 + coarse,
         ]
         out = np.empty((len(columns), n), np.int32)
@@ -180,32 +203,19 @@ class Tokens:
             out[k] = mix(key + np.uint64((k + 1) * 0xD1B54A32D192ED03 & (2**64 - 1))) % np.uint64(size)
         return out
 
-    def _shifted(self, values, by):
-        """The value `by` tokens before, 0 where that lies in another text."""
-        out = np.zeros(len(values), np.uint64)
-        if by > 0:
-            out[by:] = values[:-by]
-            out[by:][self.text[by:] != self.text[:-by]] = 0
-        else:
-            out[:by] = values[-by:]
-            out[:by][self.text[:by] != self.text[-by:]] = 0
-        return out
-
     def _variety(self, points):
         """Number of different characters of longer tokens, up to 15."""
         out = np.zeros(len(self.starts), np.int64)
         long = np.flatnonzero(self.ends - self.starts >= 8)
         if len(long):
-            sizes = self.ends[long] - self.starts[long]
-            at = np.append(0, np.cumsum(sizes))
-            flat = np.arange(at[-1]) + np.repeat(self.starts[long] - at[:-1], sizes)
-            owner = np.repeat(np.arange(len(long)), sizes)
+            flat, at = flat_spans(self.starts[long], self.ends[long])
+            owner = np.repeat(np.arange(len(long)), np.diff(at))
             met = np.unique(owner << 21 | points[flat]) >> 21
             out[long] = np.minimum(np.bincount(met, minlength=len(long)), 15)
         return out
 
     def tags(self, spans):
-        """Tags of the tokens from (text, start, end) of secrets in code points of their text."""
+        """Tags along the line from (text, start, end) of secrets in code points of their text."""
         tags = np.zeros(len(self.starts), np.int8)
         for text, start, end in spans:
             origin = self.text_starts[text]
@@ -214,7 +224,7 @@ class Tokens:
             if first < last:
                 tags[first:last] = INSIDE
                 tags[first] = BEGIN
-        return tags
+        return np.where(self.line < 0, OUTSIDE, np.append(tags, 0)[self.line])
 
 
 # The field --------------------------------------------------------------------------------------
@@ -264,19 +274,11 @@ def _log_sum(values, axis):
     return top + np.log(np.exp(values - np.expand_dims(top, axis)).sum(axis=axis))
 
 
-def _windows(tokens, tags, params, rng):
-    """Starts of chains to learn from, per text: around every secret, some long tokens, elsewhere."""
-    starts, sizes = [], tokens.ends - tokens.starts
-    for text, (low, high) in enumerate(zip(tokens.bounds[:-1], tokens.bounds[1:])):
-        if high <= low:
-            continue
-        spots = low + np.flatnonzero(tags[low:high] == BEGIN)
-        quiet = rng.integers(low, high, params.quiet)
-        long = low + np.flatnonzero((tags[low:high] == OUTSIDE) & (sizes[low:high] >= 8))
-        long = rng.permutation(long)[: params.quiet]
-        spots = np.concatenate([spots, long])
-        starts.append(np.concatenate([spots - rng.integers(2, 12, len(spots)), quiet]))
-    return np.concatenate(starts) if starts else np.zeros(0, np.int64)
+def _windows(tags, params, rng):
+    """Starts of the chains to learn from: around every secret, and some elsewhere."""
+    spots = np.flatnonzero(tags == BEGIN)
+    quiet = rng.integers(0, len(tags), -(-len(tags) * params.quiet // params.window))
+    return np.maximum(np.concatenate([spots - rng.integers(2, 12, len(spots)), quiet]), 0)
 
 
 # Letters that redrawn secrets are made of.
@@ -307,24 +309,21 @@ def _chains(many, params, rng):
     for k in [k for k, spans in enumerate(marked) if spans]:
         many.append(_redrawn(many[k], marked[k], rng))
         marked.append(marked[k])
-    tokens = Tokens(many, params.size)
+    tokens = Tokens(many, params.size, params.shortest)
     tags = tokens.tags([(k, *span) for k, spans in enumerate(marked) for span in spans])
-    first = np.maximum(_windows(tokens, tags, params, rng), 0)
-    if not len(first):
+    if not len(tags):
         return np.zeros((0, params.window, len(FEATURES)), np.int32), np.zeros((0, params.window), np.int8)
-    # Steps beyond the slice, or in another text than the window's last one, are outside.
-    text = tokens.text[np.minimum(first + params.window - 1, len(tags) - 1)]
-    places = first[:, None] + np.arange(params.window)
-    inside = places < len(tags)
-    places = np.minimum(places, len(tags) - 1)
-    inside &= tokens.text[places] == text[:, None]
-    chains = tokens.features[:, places].transpose(1, 2, 0)
-    wanted = np.where(inside, tags[places], OUTSIDE).astype(np.int8)
+    places = _windows(tags, params, rng)[:, None] + np.arange(params.window)
+    # Steps beyond the end are outside, like those between two runs.
+    line = np.append(tokens.line, -1)[np.minimum(places, len(tags))]
+    chains = np.append(tokens.features, np.full((len(FEATURES), 1), params.size, np.int32), 1)
+    chains = chains[:, line].transpose(1, 2, 0)
+    wanted = np.append(tags, OUTSIDE)[np.minimum(places, len(tags))].astype(np.int8)
     # A secret that is cut by the window's start begins there.
     wanted[:, 0] = np.where(wanted[:, 0] == INSIDE, BEGIN, wanted[:, 0])
     broken = (wanted[:, 1:] == INSIDE) & (wanted[:, :-1] == OUTSIDE)
     wanted[:, 1:][broken] = BEGIN
-    return np.where(inside[:, :, None], chains, params.size).astype(np.int32), wanted
+    return chains.astype(np.int32), wanted
 
 
 def fit_tagged(many, params=SecretParams()):
@@ -344,11 +343,13 @@ def fit_tagged(many, params=SecretParams()):
         for k in range(0, len(order), params.batch):
             part = order[k : k + params.batch]
             ids, truth = chains[part], wanted[part].astype(np.int64)
+            between = ids[:, :, 0] == params.size
             hide = rng.random(truth.shape) < params.hidden
             for f in WORDLY:
                 ids[:, :, f][hide] = params.size
             scores = weights[ids].sum(axis=2)
             scores[:, 0, INSIDE] = NEVER
+            scores[between, BEGIN:] = NEVER
             _, tag_share, pair = log_likelihood(scores, moves, truth)
             slope = np.eye(3)[truth] - tag_share
             gradient = np.zeros_like(weights)
@@ -427,27 +428,25 @@ class SecretScanner:
     def learned_spans(self, many):
         """(start, end) of the spans the field finds in each text, in code points.
 
-        Texts follow each other in one chain, each with an outside token after it.
+        All runs follow each other in one chain, each with an outside token after it.
         """
         params = self.model.params
-        tokens = Tokens(many, params.size)
-        n = len(tokens.starts)
-        scores = np.zeros((n, 3))
+        tokens = Tokens(many, params.size, params.shortest)
+        scores = np.zeros((len(tokens.starts) + 1, 3))
         for row in tokens.features:
-            scores += self.model.weights[row]
+            scores[:-1] += self.model.weights[row]
         # A margin in favour of outside keeps doubtful spans out.
         scores[:, BEGIN] -= params.margin
-        chained = np.insert(scores, tokens.bounds[1:], [0.0, NEVER, NEVER], axis=0)
-        tags = viterbi(chained, self.model.moves, params.block)
-        tags = np.delete(tags, tokens.bounds[1:] + np.arange(len(many)))
+        scores[-1] = 0.0, NEVER, NEVER
+        tags = viterbi(scores[tokens.line], self.model.moves, params.block)
         first = np.flatnonzero(tags == BEGIN)
-        closed = np.flatnonzero((tags != INSIDE) | (tokens.bounds[tokens.text] == np.arange(n)))
-        nexts = np.append(closed, n)[np.searchsorted(closed, first, "right")]
+        closed = np.flatnonzero(tags != INSIDE)
+        nexts = closed[np.searchsorted(closed, first, "right")] if len(first) else first
         spans = [[] for _ in many]
-        for f, e in zip(first.tolist(), nexts.tolist()):
+        for f, e in zip(tokens.line[first].tolist(), tokens.line[nexts - 1].tolist()):
             text = int(tokens.text[f])
             origin = tokens.text_starts[text]
-            start, end = int(tokens.starts[f] - origin), int(tokens.ends[e - 1] - origin)
+            start, end = int(tokens.starts[f] - origin), int(tokens.ends[e] - origin)
             if end - start >= params.shortest:
                 spans[text].append((start, end))
         return spans
@@ -478,18 +477,18 @@ def fit_secrets(docs, params=SecretParams()):
     bounded = docs.select("text").where(
         F.col("text").isNotNull() & (F.length("text") <= params.max_chars)
     )
-    hinted = bounded.select(
-        "text", F.xxhash64("text").alias("order"), F.col("text").rlike(HINTS).alias("hinted")
-    )
+    coded = bounded.select("text", F.xxhash64("text").alias("order"))
+    hinted = keep(coded.select("order", F.col("text").rlike(HINTS).alias("hinted")), "hinted")
     orders = hinted.select("hinted", "order").distinct()
     parts = [
         orders.where(F.col("hinted") == value).orderBy("order").limit(params.per_class)
         for value in (True, False)
     ]
     # At most 2 * per_class numbers; copies of a text are one.
-    picked = hinted.join(F.broadcast(parts[0].union(parts[1])), ["hinted", "order"])
-    rows = picked.groupBy("hinted", "order").agg(F.min("text").alias("text"))
-    chosen = [r["text"] for r in sorted(rows.collect(), key=lambda r: (r["hinted"], r["order"]))]
+    picked = coded.join(F.broadcast(parts[0].union(parts[1])), "order")
+    rows = picked.groupBy("hinted", "order").agg(F.min("text").alias("text")).collect()
+    discard(hinted)
+    chosen = [r["text"] for r in sorted(rows, key=lambda r: (r["hinted"], r["order"]))]
     return fit_tagged(chosen, params)
 
 

@@ -91,10 +91,13 @@ def test_likelihood_and_shares_equal_summing_all_paths():
 
 
 def test_tokens_and_tags():
-    tokens = Tokens(["ab-12 é_x", "", "z"], 1 << 10)
-    assert tokens.text.tolist() == [0] * 6 + [2]
-    assert tokens.tags([(0, 3, 7), (2, 0, 1)]).tolist() == [0, 0, BEGIN, INSIDE, 0, 0, BEGIN]
-    assert tokens.features.shape[1] == 7 and tokens.features.max() < 1 << 10
+    tokens = Tokens(["ab-12 é_xyz", "", "z a+b+c"], 1 << 10, 5)
+    assert tokens.line.tolist() == [0, 1, 2, -1, 3, 4, 5, -1, 6, 7, 8, 9, 10, -1]
+    assert tokens.text.tolist() == [0] * 6 + [2] * 5
+    tags = tokens.tags([(0, 3, 5), (2, 2, 7)])
+    assert tags.tolist() == [0, 0, 1, 0, 0, 0, 0, 0, 1, 2, 2, 2, 2, 0]
+    assert tokens.features.shape[1] == 11 and tokens.features.max() < 1 << 10
+    assert not len(Tokens(["few short words", ""], 1 << 10, 12).line)
 
 
 @pytest.fixture(scope="module")
