@@ -722,6 +722,52 @@ def slide_count_sql():
     )
 
 
+def plane(label, one, two):
+    """Closed form of least squares on two inputs: slopes and intercept as aggregates."""
+    a, b, c = f"var_pop({one})", f"var_pop({two})", f"covar_pop({one}, {two})"
+    p, q = f"covar_pop({one}, {label})", f"covar_pop({two}, {label})"
+    det = f"nullif({a} * {b} - {c} * {c}, 0)"
+    first, second = f"(({p} * {b} - {q} * {c}) / {det})", f"(({q} * {a} - {p} * {c}) / {det})"
+    return {
+        f"{label}_1": first,
+        f"{label}_2": second,
+        f"{label}_0": f"avg({label}) - {first} * avg({one}) - {second} * avg({two})",
+    }
+
+
+def week_plane_sql():
+    fits, out = {}, {}
+    for w in WEEKS:
+        fits |= plane(w, "units", "price")
+        value = f"({w}_0 + {w}_1 * units + {w}_2 * price)"
+        out[w] = f"CASE WHEN {value} > 0 THEN {value} ELSE 0.0 END"
+    return statement(
+        f"SELECT sku_id, {listed(snapped(out))} FROM a CROSS JOIN fitted WHERE window_id = 6",
+        SALES, WINDOWED, LABELS,
+        block("a", "wsales", "sku_id", {"units": "sum(goods_num)", "price": "avg(goods_price)"}),
+        f"fitted AS (SELECT {listed(fits)} FROM a JOIN labels_of USING (window_id, sku_id))",
+    )
+
+
+def day_plane_sql():
+    week = "floor(k / 7)"
+    value = "y_0 + y_1 * weekday + y_2 * k"
+    out = {
+        w: f"CASE WHEN sum(hat) FILTER (WHERE {week} = {i}) < 0 THEN 0.0"
+        f" ELSE sum(hat) FILTER (WHERE {week} = {i}) END"
+        for i, w in enumerate(WEEKS)
+    }
+    return statement(
+        f"SELECT sku_id, {listed(snapped(out))} FROM scored GROUP BY sku_id",
+        SALES, RELATION, skeleton(), DAY_UNITS,
+        f"days AS (SELECT window_id, sku_id, CAST(k AS DOUBLE) AS k,"
+        f" CAST(isodow({day('s.data_date')}) - 1 AS DOUBLE) AS weekday,"
+        " coalesce(u.goods_num, 0) AS y FROM skeleton s LEFT JOIN units u USING (sku_id, data_date))",
+        f"fitted AS (SELECT {listed(plane('y', 'weekday', 'k'))} FROM days WHERE window_id = 0)",
+        f"scored AS (SELECT sku_id, k, {value} AS hat FROM days CROSS JOIN fitted WHERE window_id = 1)",
+    )
+
+
 SALES_COLUMNS = "data_date, goods_id, sku_id, goods_num, " + snap("goods_price") + " AS goods_price"
 UNIVERSE_TABLES = (SALES, WINDOWED, RELATION, UNIVERSE)
 
@@ -987,6 +1033,8 @@ LEFT JOIN a USING (window_id, sku_id) LEFT JOIN g USING (window_id, goods_id)"""
     "features_granularity": granularity_sql(),
     "features_day_level": day_level_sql(),
     "multi_window_training": training_sql(),
+    "ols_week_two_inputs": week_plane_sql(),
+    "ols_day_two_inputs": day_plane_sql(),
     "ols_simple": statement(
         f"SELECT {snap('regr_slope(week1, sale_num)')} AS slope,"
         f" {snap('regr_intercept(week1, sale_num)')} AS intercept FROM labels_of JOIN"

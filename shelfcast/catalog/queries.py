@@ -34,6 +34,7 @@ from shelfcast.operators.windows import (
 from shelfcast.plans import features as ft
 from shelfcast.plans import models, presets
 from shelfcast.plans.forecasts import assemble_forecast, share_of_total
+from shelfcast.plans.linear import fit_linear
 from shelfcast.plans.training import feature_columns, joint_set, training_universe
 from shelfcast.sources import testdata as td
 from shelfcast.sources.tables import append_editions, target_skus
@@ -554,13 +555,42 @@ def ols_simple(spark, folder):
     """Week 1 units against the units of the feature window, over all training windows."""
     sold = sku_window_sum(spark, folder)
     rows = sold.join(weekly_label_query(spark, folder), ["window_id", "sku_id"])
-    vectors = models.assemble(rows, ["sale_num"], 0.0, ["week1"])
-    model = models.least_squares("week1").fit(vectors)
+    model = fit_linear(rows, ["sale_num"], ["week1"], 0.0)
     return spark.createDataFrame(
-        [(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double"
+        [(float(model.coefficients[0, 0]), float(model.intercepts[0]))],
+        "slope double, intercept double",
     )
 
 
+# Few inputs, so that the twin can solve them in closed form.
+FEW = ("goods_num_sum", "goods_price_mean")
+
+
+def _few_inputs(spark, folder):
+    return _sku_stats(
+        spark, folder, [Measure("goods_num", total=("sum",)), Measure("goods_price", total=("mean",))]
+    )
+
+
+def ols_week_two_inputs(spark, folder):
+    """All weeks on units and mean price, and on copies of both, which must not matter."""
+    stats = _few_inputs(spark, folder).withColumns(
+        {"copied": F.col("goods_num_sum") * 2, "mixed": F.col("goods_num_sum") - F.col("goods_price_mean")}
+    )
+    train = stats.join(weekly_label_query(spark, folder), ["window_id", "sku_id"])
+    test = stats.where(F.col("window_id") == FORECAST.window_id)
+    columns = [*FEW, "copied", "mixed"]
+    return models.linear_weeks(train, test, 0.0, "zero_null", columns=columns)
+
+
+def ols_day_two_inputs(spark, folder):
+    """Units per day on weekday and day index, added up to weeks and rounded."""
+    days = cal.calendar_features(day_skeleton_label(spark, folder), DAYS)
+    train, test = days.filter("window_id = 0"), days.filter("window_id = 1")
+    forecast = models.linear_days(train, test, ["week", "day_rank"], DAYS[1].label[0])
+    return forecast.select("sku_id", *[clamp(w, "keep_null").alias(w) for w in WEEKS])
+
+
 def _joint(spark, folder, name):
     tables = td.model_tables(spark, folder)
     joint = joint_set(tables, YEARS, FORECAST, name)
@@ -570,7 +600,7 @@ def _joint(spark, folder, name):
 
 def ols_week_forecast(spark, folder):
     train, test = _joint(spark, folder, "linear")
-    return models.forecast_weeks(train, test, models.least_squares, 0.0)
+    return models.linear_weeks(train, test, 0.0)
 
 
 BRIEF = presets.Boosting(0.1, 4, 5, min_child=25)
@@ -584,13 +614,8 @@ def gbt_week_forecast(spark, folder):
 def ols_day_forecast(spark, folder):
     days = features_day_level(spark, folder)
     columns = [c for c in ft.DAY_INPUTS if c in days.columns]
-    forecast = models.forecast_days(
-        days.filter("window_id = 0"),
-        days.filter("window_id = 1"),
-        models.least_squares,
-        columns,
-        DAYS[1].label[0],
-    )
+    train, test = days.filter("window_id = 0"), days.filter("window_id = 1")
+    forecast = models.linear_days(train, test, columns, DAYS[1].label[0])
     return forecast.select("sku_id", *[clamp(w, "round").alias(w) for w in WEEKS])
 
 
@@ -672,6 +697,8 @@ PLAIN = {
     "features_day_level": features_day_level,
     "multi_window_training": multi_window_training,
     "ols_simple": ols_simple,
+    "ols_week_two_inputs": ols_week_two_inputs,
+    "ols_day_two_inputs": ols_day_two_inputs,
     "ols_week_forecast": ols_week_forecast,
     "ols_day_forecast": ols_day_forecast,
     "gbt_week_forecast": gbt_week_forecast,

@@ -52,13 +52,12 @@ def day_forecast(tables, preset):
     days = day_level(tables, [*windows, test], targets)
     train = days.filter(F.col("window_id") != p.TEST_WINDOW)
     future = days.filter(F.col("window_id") == p.TEST_WINDOW)
-    make = models.least_squares
-    if preset.boosting is not None:
-        make = models.boosted_trees(preset.boosting)
     columns = [c for c in DAY_INPUTS if c in days.columns]
-    weeks = models.forecast_days(
-        train, future, make, columns, test.label[0], select=preset.model == "day_selected"
-    )
+    if preset.boosting is None:
+        weeks = models.linear_days(train, future, columns, test.label[0])
+    else:
+        make, select = models.boosted_trees(preset.boosting), preset.model == "day_selected"
+        weeks = models.forecast_days(train, future, make, columns, test.label[0], select=select)
     return weeks if preset.clamp == "none" else clamp_weeks(weeks, preset.clamp)
 
 
@@ -73,7 +72,7 @@ def week_forecast(tables, preset):
         train = joint.filter(F.col("window_id") != test.window_id)
         future = joint.filter(F.col("window_id") == test.window_id)
     if preset.model == "ols":
-        forecast = models.forecast_weeks(train, future, models.least_squares, 0.0, preset.clamp)
+        forecast = models.linear_weeks(train, future, 0.0, preset.clamp)
     else:
         make = models.boosted_trees(preset.boosting)
         forecast = models.forecast_weeks(train, future, make, -999.0, preset.clamp)

@@ -1,9 +1,11 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import WEEKS
 from shelfcast.plans import models
+from shelfcast.plans.linear import fit_linear
 from shelfcast.plans.presets import PRESETS, Boosting
 
 QUICK = Boosting(0.3, 3, 8)
@@ -23,12 +25,51 @@ def table(spark):
 
 
 def test_least_squares_recovers_the_plane(table):
-    got = models.forecast_weeks(table, table, models.least_squares, 0.0, "keep_null").toPandas()
+    got = models.linear_weeks(table, table, 0.0, "keep_null").toPandas()
     want = table.toPandas().set_index("sku_id").loc[got.sku_id]
     for w in WEEKS:
         np.testing.assert_allclose(got[w], np.maximum(want[w], 0), atol=1e-6)
 
 
+def lstsq(pdf, columns, labels):
+    """The solver's answer on centred inputs: smallest coefficients, intercepts."""
+    x, y = pdf[columns].to_numpy(float), pdf[labels].to_numpy(float)
+    slopes = np.linalg.lstsq(x - x.mean(0), y - y.mean(0), rcond=1e-9)[0]
+    return slopes.T, y.mean(0) - x.mean(0) @ slopes
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_collinear_inputs_have_the_smallest_solution(spark, parts):
+    rng = np.random.default_rng(parts)
+    a, b, c = rng.normal(size=(3, 300))
+    pdf = pd.DataFrame(
+        {
+            "a": a, "b": 1e6 + 1e3 * b, "copy": a, "twice": 2 * a, "sum": a + c, "c": c,
+            "flat": 1e5, "tiny": 1e-6 * (b - a), "year": 2017.0 + (a > 0),
+            "week1": 3 * a - b + rng.normal(size=300), "week2": c * 1e4, "week3": 7.0,
+        }
+    )
+    columns = [k for k in pdf if not k.startswith("week")]
+    labels = ["week1", "week2", "week3"]
+    df = spark.createDataFrame(pdf).repartition(parts)
+    got = fit_linear(df, columns, labels, 0.0)
+    slopes, intercepts = lstsq(pdf, columns, labels)
+    # The spreads of the inputs are nine orders of magnitude apart.
+    np.testing.assert_allclose(got.coefficients, slopes, rtol=1e-6, atol=1e-7)
+    np.testing.assert_allclose(got.intercepts, intercepts, rtol=1e-6, atol=1e-6)
+    hats = got.predict(df.select(*columns), 0.0).toPandas()
+    wanted = pdf[columns].to_numpy() @ slopes.T + intercepts
+    np.testing.assert_allclose(np.sort(hats[labels], 0), np.sort(wanted, 0), rtol=1e-6, atol=1e-5)
+
+
+def test_linear_fits_without_rows_or_spread(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 4.0), (None, None)], "x double, week1 double")
+    flat = fit_linear(df, ["x"], ["week1"], 1.0)
+    assert flat.coefficients.tolist() == [[0.0]] and flat.intercepts.tolist() == [3.0]
+    none = fit_linear(df.limit(0), ["x"], ["week1"], 0.0)
+    assert none.coefficients.tolist() == [[0.0]] and none.intercepts.tolist() == [0.0]
+
+
 def test_boosted_trees_beat_the_mean(table):
     make = models.boosted_trees(QUICK)
     got = models.forecast_weeks(table, table, make, labels=("week5",)).toPandas()
@@ -53,7 +94,7 @@ def test_day_forecast_adds_up_to_weeks(spark):
         " FROM (SELECT explode(sequence(1, 3)) AS sku_id) CROSS JOIN"
         " (SELECT explode(sequence(0, 13)) AS k)"
     )
-    got = models.forecast_days(days, days, models.least_squares, ["x"], 20180501)
+    got = models.linear_days(days, days, ["x"], 20180501)
     for row in got.collect():
         assert row.week1 == pytest.approx(7 * row.sku_id)
         assert row.week3 is None
