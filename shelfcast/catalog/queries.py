@@ -372,27 +372,31 @@ def last_week_behaviour(spark, folder):
 # Sales at three keys, categories ----------------------------------------------------------------
 
 
-def _at_pairs(sales, blocks, keys):
-    result = sales.select("window_id", "goods_id", "sku_id").distinct()
+def _at_pairs(pairs, blocks, keys):
+    result = pairs
     for block, key in zip(blocks, keys):
         result = result.join(block, ["window_id", *key], "left")
     return result
 
 
 def sale_stats_multi_key(spark, folder):
-    sales = _sales(spark, folder)
-    return _at_pairs(sales, st.quantity_by_key(sales, st.history_name), st.THREE_KEYS)
+    counted = st.value_counts(_sales(spark, folder))
+    blocks = st.quantity_by_key(counted, st.history_name)
+    return _at_pairs(st.pairs_of(counted), blocks, st.THREE_KEYS)
 
 
 def price_means_multi_key(spark, folder):
     sales = _sales(spark, folder, list_price=True)
-    return _at_pairs(sales, st.price_means_by_key(sales), (st.GOODS, st.GOODS_SKU))
+    by_goods, by_pair = st.price_means_by_key(sales)
+    return by_pair.join(by_goods, ["window_id", "goods_id"], "left")
 
 
 def last_week_stats(spark, folder):
     sales = _sales(spark, folder)
     recent = sales.filter(f"data_date >= {date_index(sales, ALL).since_days(6)}")
-    return _at_pairs(recent, st.quantity_by_key(recent, st.last_week_name), st.THREE_KEYS)
+    counted = st.value_counts(recent)
+    blocks = st.quantity_by_key(counted, st.last_week_name)
+    return _at_pairs(st.pairs_of(counted), blocks, st.THREE_KEYS)
 
 
 def category_rollup(spark, folder):

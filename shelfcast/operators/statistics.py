@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import weekday
+from shelfcast.functions.numeric import sql_ratio
 from shelfcast.operators.ordered import exact_medians, many_values
 from shelfcast.sources.schemas import BEHAVIOUR_MEASURES, CATEGORY_COLUMNS
+from shelfcast.sources.staging import stage
 
 GOODS = ("goods_id",)
 SKU = ("sku_id",)
@@ -81,44 +83,29 @@ def last_week_behaviour(recent):
 # Order in which the statistics are numbered, each at (goods), (sku), (goods, sku).
 FULL_ORDER = ("sum", "mean", "skew", "kurt", "std", "max", "min", "median")
 
-_MAKERS = {
-    "sum": F.sum,
-    "mean": F.avg,
-    "skew": F.skewness,
-    "kurt": F.kurtosis,
-    "std": F.stddev_samp,
-    "max": F.max,
-    "min": F.min,
-}
 
+def value_counts(tagged):
+    """How often each quantity occurs per (window_id, goods_id, sku_id), staged.
 
-def quantity_by_key(tagged, naming):
-    """Quantity statistics at goods, variant and (goods, variant) level.
-
-    Returns one DataFrame per key of THREE_KEYS. naming(statistic, key index) gives the column
-    name. The three medians share one ordered step.
+    One scan of the sales; all statistics of quantity_by_key and the pairs themselves come from this
+    table. A pair without any quantity has a row with a missing value.
     """
-    medians = _quantity_medians(tagged, naming)
-    blocks = []
-    for i, key in enumerate(THREE_KEYS):
-        keys = ["window_id", *key]
-        stats = tagged.groupBy(*keys).agg(
-            *[
-                _MAKERS[s]("goods_num").cast("double").alias(naming(s, i))
-                for s in FULL_ORDER
-                if s != "median"
-            ]
-        )
-        blocks.append(stats.join(medians[i], keys, "left"))
-    return blocks
+    counted = tagged.groupBy(
+        "window_id", "goods_id", "sku_id", F.col("goods_num").cast("double").alias("value")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return stage(counted, "counts")
 
 
-def _quantity_medians(tagged, naming):
-    base = (
-        tagged.filter("goods_num is not null and goods_id is not null and sku_id is not null")
-        .groupBy("window_id", "goods_id", "sku_id", F.col("goods_num").cast("double").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def pairs_of(counted):
+    """The distinct (window_id, goods_id, sku_id) of value_counts()."""
+    return counted.select("window_id", "goods_id", "sku_id").distinct()
+
+
+_LEVEL = ["window_id", "level", "k_goods", "k_sku"]
+
+
+def _level_counts(counted):
+    """Counts per value at all keys of THREE_KEYS in one table; a key that is left out is -1."""
     none = F.lit(-1).cast("bigint")
     levels = [
         F.struct(
@@ -128,25 +115,58 @@ def _quantity_medians(tagged, naming):
         )
         for i, key in enumerate(THREE_KEYS)
     ]
-    counts = (
-        base.select("window_id", "value", "n", F.inline(F.array(*levels)))
-        .groupBy("window_id", "level", "k_goods", "k_sku", "value")
+    return (
+        counted.filter("value IS NOT NULL")
+        .select("window_id", "value", "n", F.inline(F.array(*levels)))
+        .filter("k_goods IS NOT NULL AND k_sku IS NOT NULL")
+        .groupBy(*_LEVEL, "value")
         .agg(F.sum("n").alias("n"))
     )
-    medians = exact_medians(
-        counts,
-        ["window_id", "level", "k_goods", "k_sku"],
-        ["n"],
-        many_values(tagged, "goods_num"),
+
+
+def _weighted_moments(counts):
+    """Statistics of values that occur n times: two rounds, around each group's own mean."""
+    first = counts.groupBy(*_LEVEL).agg(
+        F.sum("n").alias("count"),
+        F.sum(F.col("n") * F.col("value")).alias("sum"),
+        F.max("value").alias("max"),
+        F.min("value").alias("min"),
+    )
+    first = first.withColumn("mean", F.col("sum") / F.col("count"))
+    away = F.col("value") - F.col("mean")
+    powers = [F.sum(F.col("n") * F.pow(away, F.lit(k))).alias(f"p{k}") for k in (2, 3, 4)]
+    spread = (
+        counts.join(first.select(*_LEVEL, "mean"), _LEVEL).groupBy(*_LEVEL).agg(*powers)
     )
-    result = []
+    uneven = "max > min"
+    return first.join(spread, _LEVEL).selectExpr(
+        *_LEVEL,
+        "sum",
+        "mean",
+        f"CASE WHEN {uneven} THEN p3 / count / pow(p2 / count, 1.5) END AS skew",
+        f"CASE WHEN {uneven} THEN p4 * count / (p2 * p2) - 3 END AS kurt",
+        "CASE WHEN count > 1 THEN sqrt(p2 / (count - 1)) END AS std",
+        "max",
+        "min",
+    )
+
+
+def quantity_by_key(counted, naming):
+    """Quantity statistics at goods, variant and (goods, variant) level, from value_counts().
+
+    Returns one DataFrame per key of THREE_KEYS. naming(statistic, key index) gives the column
+    name. All three keys share the counts, the moments and one ordered step for the medians.
+    """
+    counts = stage(_level_counts(counted), "levels")
+    medians = exact_medians(counts, _LEVEL, ["n"], many_values(counts, "value"))
+    stats = _weighted_moments(counts).join(medians.withColumnRenamed("n", "median"), _LEVEL, "left")
+    blocks = []
     for i, key in enumerate(THREE_KEYS):
-        columns = ["window_id"]
-        columns += [F.col("k_goods").alias("goods_id")] if "goods_id" in key else []
-        columns += [F.col("k_sku").alias("sku_id")] if "sku_id" in key else []
-        level = medians.filter(F.col("level") == i)
-        result.append(level.select(*columns, F.col("n").alias(naming("median", i))))
-    return result
+        keys = [F.col("k_goods").alias("goods_id")] if "goods_id" in key else []
+        keys += [F.col("k_sku").alias("sku_id")] if "sku_id" in key else []
+        names = [F.col(s).alias(naming(s, i)) for s in FULL_ORDER]
+        blocks.append(stats.filter(F.col("level") == i).select("window_id", *keys, *names))
+    return blocks
 
 
 def history_name(stat, key_index):
@@ -162,15 +182,20 @@ def last_week_name(stat, key_index):
 
 
 def price_means_by_key(tagged):
-    """Mean sale (s7, s8) and list price (s9, s10) per goods and per (goods, variant)."""
+    """Mean sale (s7, s8) and list price (s9, s10) per goods and per (goods, variant).
+
+    Sums per pair serve both keys; they are staged, so the sales are read once.
+    """
+    prices = {7: "goods_price", 9: "orginal_shop_price"}
+    sums = [f(c).alias(f"{n}_{c}") for c in prices.values() for n, f in (("s", F.sum), ("n", F.count))]
+    per_pair = stage(tagged.groupBy("window_id", *GOODS_SKU).agg(*sums), "prices")
     blocks = []
     for i, key in enumerate((GOODS, GOODS_SKU)):
-        blocks.append(
-            tagged.groupBy("window_id", *key).agg(
-                F.avg("goods_price").alias(f"s{7 + i}"),
-                F.avg("orginal_shop_price").alias(f"s{9 + i}"),
-            )
-        )
+        means = [
+            F.expr(sql_ratio(f"sum(s_{c})", f"sum(n_{c})")).alias(f"s{first + i}")
+            for first, c in prices.items()
+        ]
+        blocks.append(per_pair.groupBy("window_id", *key).agg(*means))
     return blocks
 
 

@@ -353,7 +353,7 @@ def day_history(tables, windows, relation_universe):
         windows,
     )
     behaviour = assign_windows(tables.goodsdaily, windows)
-    by_goods, by_sku, by_both = st.quantity_by_key(sales, st.history_name)
+    by_goods, by_sku, by_both = st.quantity_by_key(st.value_counts(sales), st.history_name)
     price_goods, price_both = st.price_means_by_key(sales)
     both = ["window_id", "goods_id", "sku_id"]
     per_pair = by_both.join(price_both, both, "left")

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.catalog.queries import PLAIN
+from shelfcast.operators import ordered, ranks, statistics
 from shelfcast.operators.lookups import attach_by_goods
+from shelfcast.sources import staging
 from shelfcast.sources import testdata as td
 
 FOLDER = "/root/testdata/sf0.001"
@@ -72,3 +74,22 @@ def test_date_ranges_reach_the_scan(spark, name):
     plan = plan_of(PLAIN[name](spark, FOLDER))
     pushed = [line for line in plan.splitlines() if "PushedFilters" in line and "l_shipdate" in line]
     assert pushed and all("GreaterThanOrEqual(l_shipdate" in line for line in pushed)
+
+
+@pytest.mark.parametrize(
+    "name, most", [("sale_stats_multi_key", 2), ("last_week_stats", 2), ("features_day_level", 3)]
+)
+def test_statistics_at_three_keys_scan_the_sales_few_times(spark, monkeypatch, name, most):
+    """Scans of the sales by all staged tables and by the result."""
+    scans = []
+    real = staging.stage
+
+    def counting(df, label="stage"):
+        scans.append(plan_of(df).count("lineitem.parquet"))
+        return real(df, label)
+
+    for module in (statistics, ordered, ranks):
+        monkeypatch.setattr(module, "stage", counting, raising=False)
+    df = PLAIN[name](spark, FOLDER)
+    scans.append(plan_of(df).split("== Initial Plan")[0].count("lineitem.parquet"))
+    assert 0 < sum(scans) <= most
