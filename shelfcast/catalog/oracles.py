@@ -438,6 +438,38 @@ def training_sql():
     )
 
 
+OVERLAP = (
+    (19950101, 19981231),
+    (19950701, 19990630),
+    (19960101, 20011231),
+    (19970101, 19970331),
+    (19970315, 20000229),
+)
+
+
+def overlap_sql():
+    bounds = ", ".join(f"({i}, {lo}, {hi})" for i, (lo, hi) in enumerate(OVERLAP))
+    columns = spans("goods_num", FIVE, RANKED, SKU_SLIDE)
+    columns |= spans("goods_num", ("var",), (7, 90), SKU_SLIDE)
+    counts = spans("goods_num", ("count",), (7, 90), SKU_SLIDE)
+    columns |= PRICE_COLUMNS | {"whole_median": "median(goods_num)"}
+    out = snapped({c: c for c in columns}) | {c: f"CAST({c} AS DOUBLE)" for c in counts}
+    return statement(
+        f"SELECT a.window_id, a.sku_id, goods_id, {listed(out)}, {snap('whole_first')} AS whole_first,"
+        " sku_num FROM a JOIN (SELECT DISTINCT window_id, goods_id, sku_id FROM osales) USING"
+        " (window_id, sku_id) JOIN (SELECT window_id, goods_id, count(DISTINCT sku_id) AS sku_num"
+        " FROM osales GROUP BY 1, 2) USING (window_id, goods_id) JOIN"
+        " (SELECT window_id, sku_id, min(goods_num) AS whole_first FROM osales"
+        " JOIN (SELECT window_id, sku_id, min(data_date) AS data_date FROM osales GROUP BY 1, 2)"
+        " USING (window_id, sku_id, data_date) GROUP BY 1, 2) USING (window_id, sku_id)",
+        SALES,
+        f"osales AS (SELECT sales.*, CAST(window_id AS BIGINT) AS window_id FROM sales JOIN"
+        f" (VALUES {bounds}) AS w(window_id, lo, hi) ON data_date BETWEEN lo AND hi)",
+        dated("osales", "orsales"),
+        block("a", "orsales", "sku_id", {n: f"nullif({c}, 0)" for n, c in counts.items()} | columns),
+    )
+
+
 def granular_columns():
     out = {}
     five = ("max", "min", "mean", "var", "sum")
@@ -1033,6 +1065,7 @@ LEFT JOIN a USING (window_id, sku_id) LEFT JOIN g USING (window_id, goods_id)"""
     "features_granularity": granularity_sql(),
     "features_day_level": day_level_sql(),
     "multi_window_training": training_sql(),
+    "multi_window_overlap": overlap_sql(),
     "ols_week_two_inputs": week_plane_sql(),
     "ols_day_two_inputs": day_plane_sql(),
     "ols_simple": statement(

@@ -23,6 +23,7 @@ from shelfcast.operators import lookups as lk
 from shelfcast.operators import statistics as st
 from shelfcast.operators.labels import days_to_weeks, resum_weeks, weekly_label
 from shelfcast.operators.ranks import RankSpec, fuse_ranks, rank_columns
+from shelfcast.operators.segments import WindowedFacts
 from shelfcast.operators.spans import Measure, span_stats
 from shelfcast.operators.windows import (
     WindowSpec,
@@ -325,8 +326,7 @@ def goodsdaily_var(spark, folder):
 
 
 def _granular(spark, folder):
-    daily = _behaviour(spark, folder)
-    return ft.granular_behaviour(daily, date_index(daily, ALL))
+    return ft.granular_behaviour(WindowedFacts.of(td.goodsdaily(spark, folder), ALL))
 
 
 def goodsdaily_granularity(spark, folder):
@@ -547,6 +547,32 @@ def features_day_level(spark, folder):
     return ft.day_level(tables, DAYS, target_skus(tables.submit_example))
 
 
+# Windows that share most of their dates, and one inside of another.
+OVERLAP = (
+    WindowSpec(0, (19950101, 19981231)),
+    WindowSpec(1, (19950701, 19990630)),
+    WindowSpec(2, (19960101, 20011231)),
+    WindowSpec(3, (19970101, 19970331)),
+    WindowSpec(4, (19970315, 20000229)),
+)
+
+
+def multi_window_overlap(spark, folder):
+    """Slides, prices and variants per goods of five windows that overlap."""
+    facts = td.goodsale(spark, folder)
+    sales = WindowedFacts.of(facts, OVERLAP)
+    measures = [
+        Measure("goods_num", ft.SLIDE_STATS, presets.RANKED_SPANS, span_name=ft.SKU_SLIDE),
+        Measure("goods_num", ("count", "var"), (7, 90), ("median", "first"), ft.SKU_SLIDE, "whole_{stat}"),
+        Measure("goods_price", total=("max", "min", "mean", "var"), total_name="sku_price_{stat}"),
+    ]
+    stats = sales.stats("sku_id", measures)
+    held = sales.present("goods_id", "sku_id")
+    return stats.join(held, ["window_id", "sku_id"]).join(
+        lk.skus_per_goods(held), ["window_id", "goods_id"]
+    )
+
+
 def multi_window_training(spark, folder):
     tables = td.model_tables(spark, folder)
     return joint_set(tables, YEARS, FORECAST, "short_slide")
@@ -700,6 +726,7 @@ PLAIN = {
     "features_granularity": _feature_query("granularity"),
     "features_day_level": features_day_level,
     "multi_window_training": multi_window_training,
+    "multi_window_overlap": multi_window_overlap,
     "ols_simple": ols_simple,
     "ols_week_two_inputs": ols_week_two_inputs,
     "ols_day_two_inputs": ols_day_two_inputs,

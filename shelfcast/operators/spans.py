@@ -57,7 +57,8 @@ def span_stats(df, keys, measures, since=None, order="data_date"):
     return wide.select(*keys, *names)
 
 
-def _combine(df, keys, measures, since, order):
+def _asked(measures, order):
+    """Spans, level-one pieces and (column, statistic, span, name) of all measures."""
     spans = sorted({s for m in measures for s in m.spans})
     parts = {"rows__": "count(1)"}
     for m in measures:
@@ -69,6 +70,11 @@ def _combine(df, keys, measures, since, order):
         for stat, span, name in m.outputs()
         if stat != "median"
     ]
+    return spans, parts, wanted
+
+
+def _combine(df, keys, measures, since, order):
+    spans, parts, wanted = _asked(measures, order)
     pieces = [F.expr(f"{sql} AS {name}") for name, sql in parts.items()]
     if not spans:
         grouped = df.groupBy(*keys).agg(*pieces)
@@ -79,6 +85,11 @@ def _combine(df, keys, measures, since, order):
     later = " + ".join(f"cast(data_date < {since(span)} AS int)" for span in spans)
     banded = df.selectExpr("*", f"{later} AS band")
     grouped = banded.groupBy(*keys, "band").agg(*pieces).repartition(*keys)
+    return _widen(grouped, keys, parts, wanted, spans)
+
+
+def _widen(grouped, keys, parts, wanted, spans):
+    """Level two: the pieces per (keys, band) become one wide row per key."""
     finals = []
     for column, stat, span, name in wanted:
         inside = None if span is None else f"band <= {spans.index(span)}"

@@ -69,6 +69,16 @@ def assign_windows(df, windows, part="feature"):
     return kept.selectExpr("*", f"explode(array_compact(array({cases}))) AS window_id")
 
 
+def disjoint(windows, part="feature"):
+    return _disjoint(_ranges(windows, part))
+
+
+def covered(df, windows, part="feature"):
+    """The rows of any window, once each; the ranges reach the scan as a pushed filter."""
+    ranges = _merged(_ranges(windows, part))
+    return df.filter(" OR ".join(f"data_date BETWEEN {lo} AND {hi}" for lo, hi in ranges))
+
+
 def _day_count(windows, part):
     return sum(days_between(lo, hi) for _, lo, hi in _ranges(windows, part))
 
@@ -106,6 +116,11 @@ class DateIndex:
         """SQL of the date `days` calendar days before the last date; spans days + 1 days."""
         return self._lookup(lambda d: shift(d[-1], -days))
 
+    def first_day(self, window_id, span, calendar=False):
+        """First date of a span of a window: of distinct dates, or of calendar days before the last."""
+        days = self.dates[window_id]
+        return shift(days[-1], -span) if calendar else days[-min(span, len(days))]
+
     def week(self, k, size=7):
         """SQL condition: the k-th block of `size` distinct dates, counted from the first."""
         blocks = {wid: days[k * size : (k + 1) * size] for wid, days in self.dates.items()}
@@ -128,9 +143,16 @@ def date_positions(tagged):
 
 
 def date_index(tagged, windows, part="feature"):
-    """Read the distinct dates of all windows: a scan of the date column alone."""
+    """Read the distinct dates of all windows: a scan of the date column alone.
+
+    `tagged` are rows of assign_windows(), or of covered(), without window_id.
+    """
     if _day_count(windows, part) > MAX_CALENDAR_DAYS:
         raise ValueError("the windows cover too many days for a date index")
+    if "window_id" not in tagged.columns:
+        days = sorted(r[0] for r in tagged.select("data_date").distinct().collect())
+        inside = {w: [d for d in days if lo <= d <= hi] for w, lo, hi in _ranges(windows, part)}
+        return DateIndex({w: found for w, found in inside.items() if found})
     found = tagged.select("window_id", "data_date").distinct().toPandas()
     return DateIndex(
         {int(w): [int(d) for d in days] for w, days in found.groupby("window_id")["data_date"]}

@@ -19,8 +19,9 @@ from shelfcast.operators.lookups import (
     skus_per_goods,
 )
 from shelfcast.operators.ranks import RankSpec, rank_columns
-from shelfcast.operators.spans import Measure, span_stats
-from shelfcast.operators.windows import assign_windows, date_index
+from shelfcast.operators.segments import WindowedFacts
+from shelfcast.operators.spans import Measure
+from shelfcast.operators.windows import assign_windows
 from shelfcast.plans import presets as p
 from shelfcast.sources.schemas import BEHAVIOUR_MEASURES, CATEGORY_COLUMNS, WEATHER_COLUMNS
 
@@ -33,15 +34,13 @@ GOODS_SLIDE = "goodsale_goods_{stat}_slide_{span}"
 
 
 def sales_in_windows(tables, windows, columns=("goods_num", "goods_price")):
-    tagged = assign_windows(
+    return WindowedFacts.of(
         tables.goodsale.select("data_date", "goods_id", "sku_id", *columns), windows
     )
-    return tagged, date_index(tagged, windows)
 
 
 def behaviour_in_windows(tables, windows):
-    tagged = assign_windows(tables.goodsdaily, windows)
-    return tagged, date_index(tagged, windows)
+    return WindowedFacts.of(tables.goodsdaily, windows)
 
 
 def _finish(features, names):
@@ -58,7 +57,7 @@ def behaviour_measures(spans, stats, total=()):
 
 def slide_rank(tables, windows, universe, spans=p.RANKED_SPANS, fill=-999.0):
     """Behaviour and sales slides, prices, categories, global ranks and ranks inside the goods."""
-    sales, dates = sales_in_windows(tables, windows)
+    sales = sales_in_windows(tables, windows)
     sku_measures = [
         Measure("goods_num", SLIDE_STATS, spans, span_name=SKU_SLIDE),
         Measure("goods_price", total=("max", "min", "mean", "var"), total_name="sku_price_{stat}"),
@@ -69,14 +68,14 @@ def slide_rank(tables, windows, universe, spans=p.RANKED_SPANS, fill=-999.0):
     daily_measures = behaviour_measures(spans, ("max", "min", "mean", "sum"))
     based = attach_by_sku(
         attach_goods(universe, tables.goods_sku_relation),
-        span_stats(sales, SKU_KEYS, sku_measures, dates.since),
+        sales.stats("sku_id", sku_measures),
     )
     ranks = global_slide_ranks(spans, fill) + in_goods_ranks(spans, fill)
     ranked = rank_columns(based, ranks)
     categories = CATEGORY_COLUMNS[:5]
-    full = attach_by_goods(ranked, span_stats(sales, GOODS_KEYS, goods_measures, dates.since))
-    daily, days = behaviour_in_windows(tables, windows)
-    full = attach_by_goods(full, span_stats(daily, GOODS_KEYS, daily_measures, days.since))
+    full = attach_by_goods(ranked, sales.stats("goods_id", goods_measures))
+    daily = behaviour_in_windows(tables, windows)
+    full = attach_by_goods(full, daily.stats("goods_id", daily_measures))
     full = attach_attributes(full, tables.goodsinfo, categories)
     names = _names(goods_measures) + _names(daily_measures) + _names(sku_measures)
     names += categories
@@ -113,7 +112,7 @@ def in_goods_ranks(spans, fill):
 
 def linear(tables, windows, universe, spans=p.RANKED_SPANS):
     """Behaviour and sales slides, prices and ascending ranks; gaps are 0, also in the ranks."""
-    sales, dates = sales_in_windows(tables, windows)
+    sales = sales_in_windows(tables, windows)
     sku_measures = [
         Measure("goods_num", SLIDE_STATS, spans, span_name=SKU_SLIDE),
         Measure("goods_price", total=("max", "min", "mean", "var"), total_name="sku_price_{stat}"),
@@ -121,7 +120,7 @@ def linear(tables, windows, universe, spans=p.RANKED_SPANS):
     daily_measures = behaviour_measures(spans, ("max", "min", "mean", "sum"))
     based = attach_by_sku(
         attach_goods(universe, tables.goods_sku_relation),
-        span_stats(sales, SKU_KEYS, sku_measures, dates.since),
+        sales.stats("sku_id", sku_measures),
     )
     ranks = [
         RankSpec(
@@ -130,9 +129,9 @@ def linear(tables, windows, universe, spans=p.RANKED_SPANS):
         for i in spans
         for s in SLIDE_STATS
     ]
-    daily, days = behaviour_in_windows(tables, windows)
+    daily = behaviour_in_windows(tables, windows)
     full = attach_by_goods(
-        rank_columns(based, ranks), span_stats(daily, GOODS_KEYS, daily_measures, days.since)
+        rank_columns(based, ranks), daily.stats("goods_id", daily_measures)
     )
     names = _names(sku_measures) + _names(daily_measures)
     return _finish(fill_missing(full, 0.0, names), names + [r.target for r in ranks])
@@ -165,8 +164,8 @@ def sale_ranks(spans):
 
 def _sales_block(tables, windows, universe, spans):
     """Variant-grain columns shared by the sales-only and the goods-context set, with ranks."""
-    sales, dates = sales_in_windows(tables, windows)
-    sales = sales.withColumn("amount", F.col("goods_num") * F.col("goods_price"))
+    sales = sales_in_windows(tables, windows)
+    sales = sales.with_column("amount", F.col("goods_num") * F.col("goods_price"))
     measures = [
         *price_measures(),
         Measure("goods_num", SLIDE_STATS, spans, span_name=SKU_SLIDE),
@@ -174,9 +173,9 @@ def _sales_block(tables, windows, universe, spans):
             "goods_num", ("sum",), (1,), span_name="last_day_sku_sale_num_sum"
         ),
     ]
-    based = attach_by_sku(universe, span_stats(sales, SKU_KEYS, measures, dates.since))
+    based = attach_by_sku(universe, sales.stats("sku_id", measures))
     ranks = sale_ranks(spans)
-    return sales, dates, rank_columns(based, ranks), _names(measures) + [r.target for r in ranks]
+    return sales, rank_columns(based, ranks), _names(measures) + [r.target for r in ranks]
 
 
 def sales_only(tables, windows, universe, spans=p.SALES_SPANS):
@@ -188,13 +187,13 @@ def sales_only(tables, windows, universe, spans=p.SALES_SPANS):
 def goods_context(tables, windows, universe, spans=p.CONTEXT_SPANS):
     """The sales-only columns plus variants per goods, first category and goods sums."""
     based = attach_goods(universe, tables.goods_sku_relation)
-    sales, dates, full, names = _sales_block(tables, windows, based, spans)
+    sales, full, names = _sales_block(tables, windows, based, spans)
     goods_measures = [
         Measure("goods_num", ("sum",), spans, span_name=GOODS_SLIDE),
         Measure("goods_num", ("sum",), (1,), span_name="last_day_goods_sale_num_sum"),
     ]
-    full = attach_by_goods(full, span_stats(sales, GOODS_KEYS, goods_measures, dates.since))
-    full = attach_by_goods(full, skus_per_goods(sales))
+    full = attach_by_goods(full, sales.stats("goods_id", goods_measures))
+    full = attach_by_goods(full, skus_per_goods(sales.present("goods_id", "sku_id")))
     full = attach_attributes(full, tables.goodsinfo, ["cat_level1_id"])
     names = names + _names(goods_measures) + ["sku_num", "cat_level1_id"]
     return _finish(fill_missing(full, 0.0, names), names)
@@ -208,7 +207,7 @@ def short_slide(
     sale_spans=p.SHORT_SALE_SPANS,
 ):
     """Behaviour slides with counts and totals, short sales slides with average ranks."""
-    sales, dates = sales_in_windows(tables, windows, ("goods_num",))
+    sales = sales_in_windows(tables, windows, ("goods_num",))
     daily_measures = behaviour_measures(
         daily_spans, ("max", "min", "mean", "count", "sum"), ("max", "min", "mean", "sum")
     )
@@ -226,16 +225,16 @@ def short_slide(
         Measure("goods_num", ("sum",), sale_spans, ("sum",), GOODS_SLIDE, "goodsale_goods_{stat}")
     ]
     based = attach_goods(universe, tables.goods_sku_relation)
-    based = attach_by_goods(based, span_stats(sales, GOODS_KEYS, goods_measures, dates.since))
-    based = attach_by_sku(based, span_stats(sales, SKU_KEYS, sku_measures, dates.since))
+    based = attach_by_goods(based, sales.stats("goods_id", goods_measures))
+    based = attach_by_sku(based, sales.stats("sku_id", sku_measures))
     ranks = [
         RankSpec(f"{block}_slide_{i}", f"{block}_slide_{i}_rank")
         for i in sale_spans
         for block in ("goodsale_sku_sum", "goodsale_sku_mean", "goodsale_goods_sum")
     ]
-    daily, days = behaviour_in_windows(tables, windows)
+    daily = behaviour_in_windows(tables, windows)
     full = attach_by_goods(
-        rank_columns(based, ranks), span_stats(daily, GOODS_KEYS, daily_measures, days.since)
+        rank_columns(based, ranks), daily.stats("goods_id", daily_measures)
     )
     names = _names(sku_measures) + _names(goods_measures) + _names(daily_measures)
     names += [r.target for r in ranks]
@@ -250,14 +249,14 @@ RATES = {
 }
 
 
-def granular_behaviour(tagged, index, granularities=p.GRANULARITIES):
+def granular_behaviour(daily, granularities=p.GRANULARITIES):
     """Behaviour totals, the same per calendar granularity, conversion rates, days on sale."""
     measures = [
         Measure(c, GRANULAR_STATS, granularities, GRANULAR_STATS, "{column}_{stat}{span}")
         for c in BEHAVIOUR_MEASURES
     ]
     measures.append(Measure("onsale_days", total=("first",), total_name="onsale_days"))
-    stats = span_stats(tagged, GOODS_KEYS, measures, index.since_days)
+    stats = daily.stats("goods_id", measures, calendar=True)
     return stats.selectExpr("*", *conversion_rates(("", *granularities)))
 
 
@@ -301,19 +300,16 @@ def granularity(
     rank_by is the column ranked inside the goods ("sku_id" or "sku_sale_day_num").
     goods_from_sales takes goods_id from a variant's first sale instead of the relation table.
     """
-    sales = assign_windows(
-        tables.goodsale.select("data_date", "goods_id", "sku_id", "goods_num", "goods_price"),
-        windows,
-    )
+    sales = sales_in_windows(tables, windows)
     if goods_from_sales:
-        first = first_per_key(sales, SKU_KEYS, ["data_date"], ["data_date", "goods_id"])
+        first = first_per_key(sales.tagged(), SKU_KEYS, ["data_date"], ["data_date", "goods_id"])
         based = attach_by_sku(universe, first.drop("data_date"))
     else:
         based = attach_goods(universe, tables.goods_sku_relation)
-    sold = span_stats(sales, SKU_KEYS, sale_day_measures()).withColumnRenamed(
+    sold = sales.stats("sku_id", sale_day_measures()).withColumnRenamed(
         "data_date_rows", "sku_sale_day_num"
     )
-    daily = granular_behaviour(*behaviour_in_windows(tables, windows), granularities)
+    daily = granular_behaviour(behaviour_in_windows(tables, windows), granularities)
     full = attach_by_goods(attach_by_sku(based, sold), daily)
     full = attach_attributes(full, tables.goodsinfo, ["brand_id"]).withColumns(
         {

@@ -5,13 +5,16 @@ from pyspark.sql import functions as F
 from shelfcast.functions.numeric import WEEKS
 from shelfcast.operators.labels import weekly_label
 from shelfcast.operators.lookups import forecast_universe, sku_universe
-from shelfcast.operators.windows import assign_windows
+from shelfcast.operators.segments import WindowedFacts
+from shelfcast.operators.windows import assign_windows, disjoint
 from shelfcast.plans.features import FEATURE_SETS, granularity
 
 
 def training_universe(tables, windows):
     """Variants sold in each feature window."""
-    return sku_universe(assign_windows(tables.goodsale.select("data_date", "sku_id"), windows))
+    if disjoint(windows):
+        return sku_universe(assign_windows(tables.goodsale.select("data_date", "sku_id"), windows))
+    return WindowedFacts.of(tables.goodsale.select("data_date", "sku_id"), windows).present("sku_id")
 
 
 def training_set(tables, windows, feature_set, **options):

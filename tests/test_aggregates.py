@@ -8,6 +8,7 @@ from shelfcast.operators import ordered
 from shelfcast.operators import statistics as st
 from shelfcast.operators.ordered import exact_medians, running_counts
 from shelfcast.operators.ranks import RankSpec, fuse_ranks, rank_columns
+from shelfcast.operators.segments import Segments, WindowedFacts
 from shelfcast.operators.spans import Measure, span_stats
 from shelfcast.operators.windows import WindowSpec, assign_windows, date_index
 
@@ -66,6 +67,47 @@ def test_one_pass_spans_equal_filtering_per_span(skewed, monkeypatch, limit):
         )
 
 
+def test_segments_of_overlapping_windows_equal_filtering_per_span(skewed):
+    df, pdf = skewed
+    stats = ("max", "min", "mean", "median", "sum", "count", "var", "std")
+    for column in ("goods_num", "goods_price"):
+        got = WindowedFacts.of(df, TWO).stats("sku_id", [Measure(column, stats, (3, 14, 40))])
+        want = naive(pdf, (3, 14, 40), column, stats)
+        got = got.toPandas().sort_values(KEYS).reset_index(drop=True)[want.columns]
+        pd.testing.assert_frame_equal(
+            got.astype(float), want.astype(float), rtol=1e-9, check_dtype=False
+        )
+    present = WindowedFacts.of(df, TWO).present("sku_id")
+    wanted = {(w.window_id, k) for w in TWO for k in pdf[pdf.data_date.between(*w.feature)].sku_id}
+    assert set(rows(present, "window_id")) == wanted and present.count() == len(wanted)
+
+
+def test_ranges_are_unions_of_dyadic_nodes():
+    bounds = {k: (1 + k, [17 - k, 9 + k], 20 + k) for k in range(6)}
+    cuts = Segments(bounds)
+    held = {}
+    for (level, node), users in cuts.cover().items():
+        for user in users:
+            held.setdefault(user, []).extend(range(node << level, (node + 1) << level))
+    for window_id, band, start, end in cuts.ranges():
+        assert sorted(held.pop((window_id, band))) == list(range(start, end + 1))
+    assert not held
+
+
+def test_windows_do_not_multiply_the_rows_of_the_scan(skewed):
+    """What leaves the first aggregate grows with keys and segments, not with windows."""
+    df, _ = skewed
+    many = [WindowSpec(k, (20170101 + k, 20170320)) for k in range(12)]
+    plan = WindowedFacts.of(df, many).stats("sku_id", [Measure("goods_num", total=("sum",))])
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in text
+    for line in text[text.rindex("Generate") :].splitlines()[1:]:
+        if "Aggregate" in line:
+            break
+    else:
+        raise AssertionError("rows are repeated before they are aggregated")
+
+
 def test_missing_values_and_singletons(spark):
     df = spark.createDataFrame(
         [(0, 1, 20170101, None), (0, 2, 20170101, 3.0), (0, 2, 20170102, None)],
