@@ -1079,6 +1079,10 @@ LEFT JOIN a USING (window_id, sku_id) LEFT JOIN g USING (window_id, goods_id)"""
     ),
 }
 
+ORACLES["csv_round_trip"] = ORACLES["scan_goodsale"]
+for _rank in ("global_rank_min", "global_rank_avg"):
+    ORACLES[f"{_rank}_sliced"] = ORACLES[_rank]
+
 for _name, _columns in NULLABLE_INTEGERS.items():
     _casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _columns)
     ORACLES[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLES[_name]})"

@@ -38,7 +38,14 @@ from shelfcast.plans.forecasts import assemble_forecast, share_of_total
 from shelfcast.plans.linear import fit_linear
 from shelfcast.plans.training import feature_columns, joint_set, training_universe
 from shelfcast.sources import testdata as td
-from shelfcast.sources.tables import append_editions, target_skus
+from shelfcast.sources.staging import scratch
+from shelfcast.sources.tables import (
+    append_editions,
+    parse_sale_prices,
+    read_ordered,
+    target_skus,
+    write_ordered,
+)
 
 YEARS = tuple(
     WindowSpec(i, feature, label)
@@ -126,6 +133,17 @@ def union_editions(spark, folder):
     )
 
 
+def csv_round_trip(spark, folder):
+    """All sales written as ordered CSV and read back, prices as text with separators."""
+    sales = td.goodsale(spark, folder, list_price=True)
+    text = sales.withColumns(
+        {c: F.col(c).cast("string") for c in ("goods_price", "orginal_shop_price")}
+    )
+    path = scratch(spark, "csv")
+    write_ordered(text, path, ["data_date", "sku_id"])
+    return parse_sale_prices(read_ordered(spark, path, "goodsale"))
+
+
 def _price_text(spark, folder):
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     return lines.select(
@@ -426,24 +444,41 @@ def _rank_base(spark, folder):
     return lk.attach_by_sku(universe, _sku_stats(spark, folder, measures))
 
 
-def global_rank_min(spark, folder):
+def _global_min(spark, folder, by_value):
     ranks = [
         RankSpec(f"goodsale_sku_{s}_slide_{i}", f"{s}_{i}_rank_{d}", "min", d == 0, None, -999.0)
         for s in ("mean", "sum")
         for i in (7, 27)
         for d in (0, 1)
     ]
-    ranked = rank_columns(_rank_base(spark, folder), ranks)
+    ranked = rank_columns(_rank_base(spark, folder), ranks, by_value=by_value)
     return ranked.select(*ft.SKU_KEYS, *[r.target for r in ranks])
 
 
-def global_rank_avg(spark, folder):
+def _global_avg(spark, folder, by_value):
     sources = [f"goodsale_sku_{s}_slide_{i}" for s in ("mean", "sum") for i in (7, 27)]
     ranks = [RankSpec(c, f"{c}_rank") for c in (*sources, "sku_price_mean")]
-    ranked = rank_columns(_rank_base(spark, folder), ranks)
+    ranked = rank_columns(_rank_base(spark, folder), ranks, by_value=by_value)
     return ranked.select(*ft.SKU_KEYS, *[r.target for r in ranks])
 
 
+def global_rank_min(spark, folder):
+    return _global_min(spark, folder, None)
+
+
+def global_rank_avg(spark, folder):
+    return _global_avg(spark, folder, None)
+
+
+def global_rank_min_sliced(spark, folder):
+    """The same ranks from ordered slices of distinct values, as for tables of any size."""
+    return _global_min(spark, folder, True)
+
+
+def global_rank_avg_sliced(spark, folder):
+    return _global_avg(spark, folder, True)
+
+
 def price_rank_in_goods(spark, folder):
     ranks = ft.in_goods_ranks((), -999.0)
     ranked = rank_columns(_rank_base(spark, folder), ranks)
@@ -663,6 +698,7 @@ def select_by_importance(spark, folder):
 PLAIN = {
     "scan_goodsale": scan_goodsale,
     "union_editions": union_editions,
+    "csv_round_trip": csv_round_trip,
     "parse_price": parse_price_query,
     "parse_price_const": parse_price_const_query,
     "window_filter": window_filter,
@@ -706,6 +742,8 @@ PLAIN = {
     "goods_attributes": goods_attributes,
     "global_rank_min": global_rank_min,
     "global_rank_avg": global_rank_avg,
+    "global_rank_min_sliced": global_rank_min_sliced,
+    "global_rank_avg_sliced": global_rank_avg_sliced,
     "price_rank_in_goods": price_rank_in_goods,
     "slide_rank_in_goods": slide_rank_in_goods,
     "sku_rank_in_goods": sku_rank_in_goods,

@@ -75,7 +75,7 @@ def one_per_date(holiday):
 def calendar_features(rows, windows, marketing=None, holiday=None, weather=None, dedupe=True):
     """Weekday, day index, marketing plan, holiday code and weather of each row's date.
 
-    Calendars are cut to the label range and to one row per date (the smallest values) before their
+    Calendars are cut to the label range and to one row per date (the smallest one) before their
     broadcast.
     dedupe=False keeps repeated holiday dates, which repeats the rows of those dates.
     """
@@ -103,9 +103,10 @@ def calendar_features(rows, windows, marketing=None, holiday=None, weather=None,
 
 
 def _first_per_date(calendar):
-    """One row per date of any calendar: the smallest value of each column."""
+    """One row per date of any calendar: of several, the smallest as a whole."""
     others = [c for c in calendar.columns if c != "data_date"]
-    return calendar.groupBy("data_date").agg(*[F.min(c).alias(c) for c in others])
+    first = calendar.groupBy("data_date").agg(F.min(F.struct(*others)).alias("first"))
+    return first.select("data_date", "first.*")
 
 
 def _join_calendar(rows, calendar, lo, hi, windows):

@@ -3,7 +3,8 @@
 All rank columns of a feature table are computed together: values are unpivoted to
 (series, value). Small tables are ordered directly, one series per window and task. Large ones are
 counted per distinct value before the shuffle, ordered by running_counts and looked up by value,
-so ties and hot values cost one row each in the ordered step.
+so ties and hot values cost one row each in the ordered step. The few values that many rows share
+are looked up by a broadcast (their number is bounded), all others by hash.
 """
 
 from dataclasses import dataclass
@@ -15,6 +16,10 @@ from shelfcast.operators.ordered import running_counts
 from shelfcast.sources.staging import stage
 
 
+# Values that occur in more than one of so many rows are hot; there are fewer of them than this.
+HOT_VALUES = 10_000
+
+
 @dataclass(frozen=True)
 class RankSpec:
     """Rank `source` into `target`.
@@ -54,16 +59,18 @@ def _by_series(specs, number, columns, suffix=""):
     ]
 
 
-def rank_columns(features, specs, key="sku_id"):
+def rank_columns(features, specs, key="sku_id", by_value=None):
     """Add the rank columns of `specs`; `features` has one row per (window_id, key).
 
-    The features are read several times, so they are staged first.
+    The features are read several times, so they are staged first. Both methods give the same
+    ranks; by_value picks one, by default the number of rows does.
     """
     features = stage(features, "features")
     series = sorted({s.series for s in specs}, key=str)
     number = {s: i for i, s in enumerate(series)}
-    if features.count() > ordered.MAX_GROUP_ROWS:
-        return _rank_by_value(features, specs, series, number, key)
+    rows = features.count()
+    if rows > ordered.MAX_GROUP_ROWS if by_value is None else by_value:
+        return _rank_by_value(features, specs, series, number, key, rows)
     return _rank_rows(features, specs, series, number, key)
 
 
@@ -85,7 +92,7 @@ def _rank_rows(features, specs, series, number, key):
     return features.join(ranks, ["window_id", key], "left")
 
 
-def _rank_by_value(features, specs, series, number, key):
+def _rank_by_value(features, specs, series, number, key, rows):
     """Order the distinct values of each series and look the ranks up by value."""
     long = _unpivot(features, series, key, fill_global=False)
     # A global series with a fill value counts its missing rows instead of shuffling them.
@@ -104,12 +111,26 @@ def _rank_by_value(features, specs, series, number, key):
         )
     group = ["window_id", "series", "scope"]
     counts = counted.groupBy(*group, "value").agg(F.sum("n").alias("n"))
-    ordered = running_counts(counts, group, ["value"], ["n"], sliced=True)
-    ranks = _pivot(long.join(ordered, [*group, "value"]), specs, number, key)
+    placed = stage(running_counts(counts, group, ["value"], ["n"], sliced=True), "places")
+    found = _look_up(long, placed, [*group, "value"], rows * len(series) // HOT_VALUES)
+    ranks = _pivot(found, specs, number, key)
     result = features.join(ranks, ["window_id", key], "left")
     return _rank_gaps(result, gaps, specs, number) if filled else result
 
 
+def _look_up(long, placed, keys, often):
+    """The rows of `long` with the counts of their value, hot values by broadcast.
+
+    A hot value stands for more than `often` rows, which bounds the number of hot values.
+    """
+    counts = ["n_before", "n", "n_total"]
+    hot = placed.where(F.col("n") > often).select(*keys, F.struct(*counts).alias("hot"))
+    marked = long.join(F.broadcast(hot), keys, "left")
+    warm = marked.where("hot IS NOT NULL").select(*long.columns, "hot.*")
+    rest = marked.where("hot IS NULL").drop("hot").join(placed.where(F.col("n") <= often), keys)
+    return warm.select(*long.columns, *counts).unionByName(rest.select(*long.columns, *counts))
+
+
 def _pivot(placed, specs, number, key):
     """One row per (window_id, key).
 

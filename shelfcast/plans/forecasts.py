@@ -11,7 +11,7 @@ from shelfcast.plans import models
 from shelfcast.plans import presets as p
 from shelfcast.plans.features import DAY_INPUTS, day_level
 from shelfcast.plans.training import joint_set, scoring_set, training_set
-from shelfcast.sources.tables import target_skus
+from shelfcast.sources.tables import prune_months, target_skus
 
 
 def window_units(goodsale, lo, hi):
@@ -81,6 +81,15 @@ def week_forecast(tables, preset):
     return forecast
 
 
+def date_ranges(preset):
+    """All date ranges of the facts that a preset reads."""
+    if preset.model == "rule":
+        return [p.RULE_RANGE]
+    if preset.model.startswith("day"):
+        return [r for pair in (*preset.pairs, preset.test) for r in pair]
+    return [r for pair in preset.pairs for r in pair] + [preset.test]
+
+
 def run_preset(tables, name, rounds=None, reverse=None):
     """Forecast of one preset; `rounds` overrides the number of boosting rounds.
 
@@ -91,6 +100,7 @@ def run_preset(tables, name, rounds=None, reverse=None):
     reverse = preset.reverse if reverse is None else reverse
     if rounds and preset.boosting:
         preset = replace(preset, boosting=replace(preset.boosting, rounds=rounds))
+    tables = prune_months(tables, date_ranges(preset))
     targets = target_skus(tables.submit_example)
     if preset.model == "rule":
         forecast = share_of_total(tables.goodsale, targets)

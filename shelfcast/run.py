@@ -19,6 +19,9 @@ def main(argv=None):
     parser.add_argument("--edition", action="append", default=[], help="more folders with sales")
     parser.add_argument("--input-format", default="csv")
     parser.add_argument("--output-format", default="csv")
+    parser.add_argument(
+        "--sorted", action="store_true", help="CSV files in the order of sku_id, one header"
+    )
     parser.add_argument("--rounds", type=int, help="boosting rounds instead of the preset's")
     parser.add_argument(
         "--reverse-weeks", action="store_true", default=None, help="swap the weeks end to end"
@@ -33,7 +36,8 @@ def main(argv=None):
         price_mode=PRESETS[args.preset].price_mode,
     )
     forecast = run_preset(tables, args.preset, args.rounds, args.reverse_weeks)
-    write_result(forecast, args.output, args.output_format)
+    order = ["sku_id"] if args.sorted else []
+    write_result(forecast, args.output, args.output_format, order=order)
 
 
 if __name__ == "__main__":

@@ -2,7 +2,7 @@
 
 A staged table cuts lineage, survives lost executors and is computed once however often it is
 read. The folder is the session's `spark.checkpoint.dir`; where that is unset, it lies in the
-warehouse, which all executors share as well. clear_stages() removes what a session has staged.
+warehouse, if that is shared. clear_stages() removes what a session has staged.
 """
 
 import uuid
@@ -16,7 +16,11 @@ def stage_root(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/stages"
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = root.startswith("/") or root.startswith("file:")
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return root + "/stages"
 
 
 def clear_stages(spark):
@@ -27,10 +31,16 @@ def clear_stages(spark):
         target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def scratch(spark, name):
+    """A new path below the shared folder, removed by clear_stages()."""
+    path = f"{stage_root(spark)}/shelfcast-{name}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def stage(df, name="stage"):
     """Write `df` once and return a DataFrame that reads the written files."""
     spark = SparkSession.active()
-    path = f"{stage_root(spark)}/shelfcast-{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ import pytest
 from support import rows
 from pyspark.sql import functions as F
 
-from shelfcast.operators import ordered
+from shelfcast.operators import ordered, ranks
 from shelfcast.operators import statistics as st
 from shelfcast.operators.ordered import exact_medians, running_counts
 from shelfcast.operators.ranks import RankSpec, fuse_ranks, rank_columns
@@ -205,6 +205,20 @@ def test_ranks_match_definition(spark, monkeypatch, limit):
         np.testing.assert_array_equal(got[name].to_numpy(float), series.to_numpy(float), name)
 
 
+def test_ranks_where_half_of_all_rows_are_tied(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "HOT_VALUES", 8)
+    rng = np.random.default_rng(4)
+    value = np.where(rng.random(3000) < 0.5, 5.0, rng.integers(0, 900, 3000))
+    pdf = pd.DataFrame({"window_id": 0, "sku_id": np.arange(3000), "v": value.astype(float)})
+    specs = [RankSpec("v", "average"), RankSpec("v", "falling", "min", False)]
+    ranked = rank_columns(spark.createDataFrame(pdf), specs, by_value=True)
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+    got = ranked.toPandas().sort_values("sku_id")
+    np.testing.assert_array_equal(got.average, pdf.v.rank())
+    np.testing.assert_array_equal(got.falling, pdf.v.rank(method="min", ascending=False))
+
+
 def test_rank_fusion(spark):
     scores = spark.createDataFrame(
         [(1, 1, 0.1, 0.9), (1, 2, 0.5, 0.5), (1, 3, 0.9, 0.1), (2, 4, 1.0, 1.0)],

@@ -53,3 +53,12 @@ def test_calendar_columns_and_repeated_holidays(spark, targets, relation):
     ]
     repeated = cal.calendar_features(skeleton, DAYS, holiday=holiday, dedupe=False)
     assert repeated.count() == 72
+
+
+def test_a_repeated_date_keeps_one_whole_row(spark, targets, relation):
+    plan = spark.createDataFrame(
+        [(20170515, 1, 9), (20170515, 3, 2)], "data_date int, marketing int, plan int"
+    )
+    got = cal.calendar_features(cal.day_skeleton(targets, relation, DAYS), DAYS, plan)
+    met = got.filter("data_date = 20170515").select("marketing", "plan").distinct()
+    assert [tuple(r) for r in met.collect()] == [(1, 9)]

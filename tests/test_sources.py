@@ -1,7 +1,7 @@
 import pytest
 from support import rows
 
-from shelfcast.plans.forecasts import run_preset
+from shelfcast.plans.forecasts import date_ranges, run_preset
 from shelfcast.plans.models import boosted_trees
 from shelfcast.plans.presets import PRESETS
 from shelfcast.sources import tables as tb
@@ -34,6 +34,52 @@ def test_result_round_trip(spark, tmp_path):
     assert tb.target_skus(df).columns == ["sku_id"]
 
 
+def test_ordered_files_joined_by_name_are_the_whole_order(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(k * 7919 % 1000, 1, k, 1.0, f'a "{k}", b' if k % 3 else None, "") for k in range(400)],
+        tb.SCHEMAS["goodsale"],
+    )
+    path = tmp_path / "ordered"
+    tb.write_result(df, str(path), "csv", order=["data_date", "sku_id"])
+    lines = [x for f in sorted(path.glob("part-*")) for x in f.read_text().splitlines()]
+    assert lines[0] == ",".join(df.columns) and lines.count(lines[0]) == 1
+    keys = [(int(x.split(",")[0]), int(x.split(",")[2])) for x in lines[1:]]
+    assert keys == sorted(keys) and len(keys) == 400
+    back = tb.read_ordered(spark, str(path), "goodsale")
+    assert back.schema == df.schema
+    got = rows(back.select("sku_id", "data_date", "goods_price"), "sku_id")
+    assert got == rows(df.select("sku_id", "data_date", "goods_price"), "sku_id")
+
+
+def test_other_months_are_not_read(spark, csv_folder, tmp_path):
+    """Windows become predicates on the monthly folders of both fact tables."""
+    plain = tb.read_model_tables(spark, csv_folder)
+    for name, file in tb.FILES.items():
+        table = tb.read_table(spark, name, f"{csv_folder}/{file}.csv")
+        target = str(tmp_path / file)
+        tb.write_fact(table, target) if name in tb.FACTS else table.write.parquet(target)
+    monthly = tb.read_model_tables(spark, str(tmp_path), fmt="months")
+    preset = PRESETS["linear_slides"]
+    pruned = tb.prune_months(monthly, date_ranges(preset))
+    for facts in (pruned.goodsale, pruned.goodsdaily):
+        plan = facts._jdf.queryExecution().executedPlan().toString()
+        assert "month#" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+        assert {f.split("month=")[1][:6] for f in facts.inputFiles()} >= {"201703", "201802"}
+        assert "month" not in facts.columns
+    kept = rows(run_preset(monthly, "linear_slides"), "sku_id")
+    for got, want in zip(kept, rows(run_preset(plain, "linear_slides"), "sku_id")):
+        assert got == pytest.approx(want, rel=1e-6)
+
+
+def test_stages_need_a_shared_folder(spark, monkeypatch):
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda k, d=None: d if "checkpoint" in k else "file:/x")})
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError):
+        stage_root(Cluster)
+
+
 def test_monthly_facts_prune(spark, sales, tmp_path):
     path = str(tmp_path / "fact")
     tb.write_fact(sales, path)
