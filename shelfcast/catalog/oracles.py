@@ -800,6 +800,35 @@ def day_plane_sql():
     )
 
 
+def stump_sql():
+    """The best cut of each input; the first input with the highest gain takes it, the others 0."""
+    inputs = {"week": f"isodow({day('s.data_date')}) - 1", "day_rank": "k"}
+    cuts = " UNION ALL ".join(
+        f"SELECT {i} AS place, '{name}' AS feature, a.v AS cut, sum(b.y) FILTER (WHERE b.v <= a.v) AS ls,"
+        " sum(b.n) FILTER (WHERE b.v <= a.v) AS ln, sum(b.y) FILTER (WHERE b.v > a.v) AS rs,"
+        f" sum(b.n) FILTER (WHERE b.v > a.v) AS rn FROM {name}_bins a, {name}_bins b GROUP BY a.v"
+        for i, name in enumerate(inputs)
+    )
+    bins = [
+        f"{name}_bins AS (SELECT CAST({sql} AS BIGINT) AS v, sum(y) AS y, count(*) AS n FROM away s"
+        " GROUP BY 1)"
+        for name, sql in inputs.items()
+    ]
+    return statement(
+        f"SELECT feature, {snap('CASE WHEN feature = winner THEN top ELSE 0.0 END')} AS gain FROM"
+        " (SELECT unnest(['constant', 'week', 'day_rank', 'copied']) AS feature), (SELECT feature AS"
+        " winner, gain AS top FROM gains ORDER BY gain DESC, place LIMIT 1)",
+        SALES, RELATION, skeleton(), DAY_UNITS,
+        "raw AS (SELECT s.*, coalesce(u.goods_num, 0) AS units FROM skeleton s LEFT JOIN units u"
+        " USING (sku_id, data_date))",
+        "away AS (SELECT *, units - avg(units) OVER () AS y FROM raw)",
+        *bins,
+        f"cuts AS ({cuts})",
+        "gains AS (SELECT place, feature, max(ls * ls / ln + rs * rs / rn) AS gain FROM cuts"
+        " WHERE rn > 0 GROUP BY 1, 2)",
+    )
+
+
 SALES_COLUMNS = "data_date, goods_id, sku_id, goods_num, " + snap("goods_price") + " AS goods_price"
 UNIVERSE_TABLES = (SALES, WINDOWED, RELATION, UNIVERSE)
 
@@ -1066,6 +1095,7 @@ LEFT JOIN a USING (window_id, sku_id) LEFT JOIN g USING (window_id, goods_id)"""
     "features_day_level": day_level_sql(),
     "multi_window_training": training_sql(),
     "multi_window_overlap": overlap_sql(),
+    "select_by_gain": stump_sql(),
     "ols_week_two_inputs": week_plane_sql(),
     "ols_day_two_inputs": day_plane_sql(),
     "ols_simple": statement(

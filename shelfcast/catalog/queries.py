@@ -34,6 +34,7 @@ from shelfcast.operators.windows import (
 )
 from shelfcast.plans import features as ft
 from shelfcast.plans import models, presets
+from shelfcast.plans.boosting import fit_boosted
 from shelfcast.plans.forecasts import assemble_forecast, share_of_total
 from shelfcast.plans.linear import fit_linear
 from shelfcast.plans.training import feature_columns, joint_set, training_universe
@@ -673,7 +674,7 @@ BRIEF = presets.Boosting(0.1, 4, 5, min_child=25)
 
 def gbt_week_forecast(spark, folder):
     train, test = _joint(spark, folder, "sales_only")
-    return models.forecast_weeks(train, test, models.boosted_trees(BRIEF))
+    return models.boosted_weeks(train, test, BRIEF)
 
 
 def ols_day_forecast(spark, folder):
@@ -687,12 +688,19 @@ def ols_day_forecast(spark, folder):
 def select_by_importance(spark, folder):
     """Inputs with positive importance in a first fit on week 1."""
     train, _ = _joint(spark, folder, "sales_only")
-    columns = feature_columns(train)
-    vectors = models.assemble(train, columns, -999.0, ["week1"])
-    model = models.boosted_trees(BRIEF)("week1").fit(vectors)
-    return spark.createDataFrame(
-        models.importances(model, columns), "feature string, importance double"
+    model = fit_boosted(train, feature_columns(train), [["week1"]], BRIEF)
+    return spark.createDataFrame(model.importances(), "feature string, importance double")
+
+
+def select_by_gain(spark, folder):
+    """Gain of a single split of the units per day, with a copied and a constant input."""
+    days = cal.calendar_features(day_skeleton_label(spark, folder), DAYS).withColumns(
+        {"copied": F.col("day_rank"), "constant": F.lit(1)}
     )
+    stump = presets.Boosting(1.0, 1, 1)
+    model = fit_boosted(days, ["constant", "week", "day_rank", "copied"], [["goods_num"]], stump)
+    gains = [(c, float(g)) for c, g in zip(model.columns, model.gains[0])]
+    return spark.createDataFrame(gains, "feature string, gain double")
 
 
 PLAIN = {
@@ -772,6 +780,7 @@ PLAIN = {
     "ols_day_forecast": ols_day_forecast,
     "gbt_week_forecast": gbt_week_forecast,
     "select_by_importance": select_by_importance,
+    "select_by_gain": select_by_gain,
 }
 
 

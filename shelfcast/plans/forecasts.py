@@ -56,8 +56,10 @@ def day_forecast(tables, preset):
     if preset.boosting is None:
         weeks = models.linear_days(train, future, columns, test.label[0])
     else:
-        make, select = models.boosted_trees(preset.boosting), preset.model == "day_selected"
-        weeks = models.forecast_days(train, future, make, columns, test.label[0], select=select)
+        select = preset.model == "day_selected"
+        weeks = models.boosted_days(
+            train, future, preset.boosting, columns, test.label[0], select=select
+        )
     return weeks if preset.clamp == "none" else clamp_weeks(weeks, preset.clamp)
 
 
@@ -74,8 +76,10 @@ def week_forecast(tables, preset):
     if preset.model == "ols":
         forecast = models.linear_weeks(train, future, 0.0, preset.clamp)
     else:
-        make = models.boosted_trees(preset.boosting)
-        forecast = models.forecast_weeks(train, future, make, -999.0, preset.clamp)
+        shared = preset.model == "multi_output"
+        forecast = models.boosted_weeks(
+            train, future, preset.boosting, -999.0, preset.clamp, shared=shared
+        )
     if preset.model == "multi_output":
         forecast = resum_weeks(forecast)
     return forecast

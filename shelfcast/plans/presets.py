@@ -75,8 +75,11 @@ GRANULARITIES = (24, 21, 14, 7, 5, 3, 1)
 class Boosting:
     """Parameters of gradient-boosted trees as published for each model.
 
-    `rounds` is the number of trees a fit grows. `leaves`, `l1` and `l2` have no counterpart in
-    GBTRegressor.
+    rounds     trees a fit grows;  rate  share of each leaf value that is added;
+    depth      of a tree, at most;  leaves  of a tree, at most (None: as the depth allows);
+    min_child  rows of a leaf, at least;  gamma  half of the gain that a split must exceed;
+    l1, l2     shrinkage of leaf values;
+    row_share, column_share  what a tree learns from.
     """
 
     rate: float
@@ -141,13 +144,12 @@ PRESETS = {
         CONTEXT_TEST,
         Boosting(0.06, 6, 2000, leaves=31, min_child=500, l1=0.5, l2=0.2),
     ),
-    # Depth 25 with 31 leaves grows leaf by leaf; a level-wise tree of depth 5 has as many.
     "boosted_granularity": Preset(
         "granularity",
         "boosted",
         SHORT_PAIRS,
         SHORT_TEST,
-        Boosting(0.03, 5, 1000, leaves=31, min_child=25, l1=0.1, l2=0.2),
+        Boosting(0.03, 25, 1000, leaves=31, min_child=25, l1=0.1, l2=0.2),
         clamp="keep_null",
     ),
     "boosted_granularity_sampled": Preset(
@@ -194,7 +196,7 @@ PRESETS = {
         clamp="none",
         price_mode="const",
     ),
-    # Five weekly targets at once, with the library's default trees. The targets are weekly, so the
+    # Five weekly targets at once, a value of each in every leaf, with default trees. The targets are weekly, so the
     # inputs are the weekly ranked slides.
     "boosted_multi_output": Preset(
         "slide_rank",

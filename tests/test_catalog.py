@@ -24,7 +24,8 @@ def duck():
 def ordered(pdf):
     columns = sorted(pdf.columns)
     keys = [k for k in KEYS if k in columns] + [c for c in columns if c not in KEYS]
-    plain = pdf[columns].apply(pd.to_numeric).astype(float)
+    text = [c for c in columns if c == "feature"]
+    plain = pdf[columns].astype({c: float for c in columns if c not in text})
     return plain.sort_values(keys).reset_index(drop=True)
 
 

@@ -1,10 +1,13 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import WEEKS
 from shelfcast.plans import models
+from shelfcast.plans.boosting import fit_boosted
 from shelfcast.plans.linear import fit_linear
 from shelfcast.plans.presets import PRESETS, Boosting
 
@@ -71,21 +74,114 @@ def test_linear_fits_without_rows_or_spread(spark):
 
 
 def test_boosted_trees_beat_the_mean(table):
-    make = models.boosted_trees(QUICK)
-    got = models.forecast_weeks(table, table, make, labels=("week5",)).toPandas()
+    got = models.boosted_weeks(table, table, QUICK, labels=("week5",)).toPandas()
     want = table.toPandas().set_index("sku_id").loc[got.sku_id].week5.to_numpy()
     assert ((got.week5 - want) ** 2).mean() < 0.5 * want.var()
     assert got.week5.min() >= 0
 
 
 def test_selection_keeps_what_matters(table):
-    vectors = models.assemble(table, ["a", "b", "flat"], -999.0, ["week1"])
-    estimator = models.boosted_trees(QUICK)("week1")
-    kept = [c for c, _ in models.importances(estimator.fit(vectors), ["a", "b", "flat"])]
-    assert kept == ["a", "b"]
-    model, cut = models.fit_selected(vectors, vectors, estimator)
-    assert model.numFeatures == 2
-    assert model.transform(cut).filter("week1_hat is null").count() == 0
+    wide = table.withColumn("again", F.col("a"))
+    model = fit_boosted(wide, ["flat", "a", "again", "b"], [["week1"]], QUICK)
+    assert [c for c, _ in model.importances()] == ["a", "b"]
+    kept = models.fit_selected(wide, ["flat", "b", "again", "a"], ["week1"], QUICK, -999.0)
+    assert kept == ["b", "again"]
+    assert models.fit_selected(wide, ["flat"], ["week1"], QUICK, -999.0) == ["flat"]
+
+
+@pytest.fixture(scope="module")
+def noisy():
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({c: rng.integers(0, 9, 240).astype(float) for c in "abc"})
+    for k, w in enumerate(("week1", "week2", "week3")):
+        pdf[w] = pdf.a * (k + 1) - (pdf.b > 4) * 7 + pdf.c * pdf.b / 5 + rng.normal(size=240)
+    return pdf
+
+
+def test_a_tree_of_limited_depth_equals_the_one_of_spark(spark, noisy):
+    df = spark.createDataFrame(noisy)
+    model = fit_boosted(df, list("abc"), [["week1"]], Boosting(1.0, 3, 1, min_child=5))
+    vectors = VectorAssembler(inputCols=list("abc"), outputCol="x").transform(df)
+    tree = DecisionTreeRegressor(
+        featuresCol="x", labelCol="week1", maxDepth=3, minInstancesPerNode=5, maxBins=64
+    ).fit(vectors)
+    want = tree.transform(vectors).select("a", "b", "c", "prediction").toPandas()
+    got = model.predict(df, list("abc"), -999.0).toPandas()
+    order = ["a", "b", "c"]
+    np.testing.assert_allclose(
+        got.sort_values(order).week1, want.sort_values(order).prediction, rtol=1e-9
+    )
+
+
+def brute_boosting(pdf, columns, labels, params):
+    """Best-first trees by trying every cut of every leaf, one split after the other."""
+    x, y = pdf[columns].to_numpy(), pdf[labels].to_numpy()
+    hat = np.tile(y.mean(0), (len(y), 1))
+
+    def worth(rows):
+        sums = (y - hat)[rows].sum(0)
+        return (np.maximum(np.abs(sums) - params.l1, 0) ** 2).sum() / (len(rows) + params.l2)
+
+    sizes = []
+    for _ in range(params.rounds):
+        leaves = [(np.arange(len(x)), 0)]
+        while len(leaves) < (params.leaves or 1 << params.depth):
+            tries = []
+            for k, (rows, depth) in enumerate(leaves):
+                for f in range(len(columns)) if depth < params.depth else ():
+                    for cut in np.unique(x[rows, f])[:-1]:
+                        left, right = rows[x[rows, f] <= cut], rows[x[rows, f] > cut]
+                        if min(len(left), len(right)) >= params.min_child:
+                            gain = worth(left) + worth(right) - worth(rows)
+                            tries.append((round(gain, 9), -f, -cut, k, left, right))
+            best = max(tries, key=lambda t: t[:3], default=None)
+            if best is None or best[0] <= 2 * params.gamma:
+                break
+            k = best[3]
+            depth = leaves[k][1] + 1
+            leaves[k : k + 1] = [(best[4], depth), (best[5], depth)]
+        step = np.zeros_like(hat)
+        for rows, _ in leaves:
+            sums = (y - hat)[rows].sum(0)
+            step[rows] = np.sign(sums) * np.maximum(np.abs(sums) - params.l1, 0) / (len(rows) + params.l2)
+        hat = hat + params.rate * step
+        sizes.append(len(leaves))
+    return hat, sizes
+
+
+@pytest.mark.parametrize(
+    "params",
+    [
+        Boosting(0.3, 4, 3, leaves=6, min_child=8, l1=2.0, l2=3.0),
+        Boosting(0.5, 9, 2, leaves=7, min_child=3, gamma=1.0),
+        Boosting(0.2, 2, 18, l2=1.0),
+    ],
+)
+@pytest.mark.parametrize("labels", [["week1"], ["week1", "week2", "week3"]])
+def test_leaves_and_shrinkage_equal_trying_every_split(spark, noisy, params, labels):
+    """Also with vector-valued leaves, and across a rewriting of the forecasts."""
+    columns = list("abc")
+    df = spark.createDataFrame(noisy).repartition(3)
+    model = fit_boosted(df, columns, [labels], params)
+    want, sizes = brute_boosting(noisy, columns, labels, params)
+    assert [t.feature.count(-1) for t in model.trees[0]] == sizes
+    got = model.predict(df, [*columns], -999.0).toPandas()
+    brute = noisy[columns].assign(**dict(zip(labels, want.T)))
+    for w in labels:
+        np.testing.assert_allclose(
+            got.sort_values([*columns, w])[w], brute.sort_values([*columns, w])[w], rtol=1e-7
+        )
+
+
+def test_groups_do_not_depend_on_each_other(spark, noisy):
+    params = Boosting(0.3, 3, 2, row_share=0.7, column_share=0.99)
+    df = spark.createDataFrame(noisy)
+    both = fit_boosted(df, list("abc"), [["week1"], ["week2"]], params)
+    one = fit_boosted(df.limit(0), list("abc"), [["week1"]], params)
+    assert one.predict(df, ["a"], 0.0).select("week1").distinct().collect() == [(0.0,)]
+    assert [len(t) for t in both.trees] == [2, 2]
+    sample = both.trees[0][0].value
+    assert sample.shape[1] == 1 and np.isfinite(sample).all()
 
 
 def test_day_forecast_adds_up_to_weeks(spark):

@@ -2,7 +2,6 @@ import pytest
 from support import rows
 
 from shelfcast.plans.forecasts import date_ranges, run_preset
-from shelfcast.plans.models import boosted_trees
 from shelfcast.plans.presets import PRESETS
 from shelfcast.sources import tables as tb
 from shelfcast.sources.staging import stage, stage_root
@@ -154,12 +153,6 @@ def test_presets_run_from_files_to_forecast(spark, csv_folder, preset):
     assert all(v is not None and v >= 0 for v in sold)
 
 
-@pytest.mark.parametrize("name", [n for n, p in PRESETS.items() if p.boosting])
-def test_fits_grow_the_stated_number_of_trees(spark, name):
-    boosting = PRESETS[name].boosting
-    assert boosted_trees(boosting)("week1").getMaxIter() == boosting.rounds
-
-
 def test_weeks_can_be_reversed(spark, csv_folder):
     tables = tb.read_model_tables(spark, csv_folder)
     plain = {r.sku_id: tuple(r)[1:] for r in run_preset(tables, "share_of_total").collect()}
