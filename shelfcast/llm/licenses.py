@@ -193,9 +193,11 @@ class LicenseScanner:
         line, places = b" " + b" ".join(words) + b" ", []
         for phrase, label in self.phrases:
             wanted = b" " + phrase + b" "
-            at = line.find(wanted)
+            at, words_before, counted = line.find(wanted), 0, 0
             while at >= 0:
-                places.append((line.count(b" ", 0, at), label))
+                words_before += line.count(b" ", counted, at)
+                counted = at
+                places.append((words_before, label))
                 at = line.find(wanted, at + 1)
         matches = []
         for label, machine, first, rarest in self.machines:
