@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from shelfcast.llm.bpe_codec import PrefixEncoder, encode_documents, round_trip
 from shelfcast.llm.bpe_rules import BpeRules, read_tokenizer
-from shelfcast.llm.token_counts import TokenCounter, count_tokens
+from shelfcast.llm.token_counts import ChunkMaps, Symbols, TokenCounter, count_tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PARTS = [
@@ -77,26 +77,79 @@ def test_broken_characters_are_decoded_like_the_library(rules, library):
         assert encoder.decode(packed) == library.decode(ids, skip_special_tokens=False)
 
 
-@pytest.mark.parametrize("chunk", [5, 64, 1 << 20])
-def test_counts_do_not_depend_on_the_chunks(rules, library, texts, chunk):
-    some = texts[::7]
-    counter = TokenCounter(rules, chunk=chunk)
+RUNS = [
+    "a" * 3000,
+    "ab" * 1500,
+    "漢字仮名" * 400,
+    " " * 900 + "x" + "\n" * 700,
+    "=-" * 800,
+    "it's" * 300 + "'" * 300,
+    "'re 're're" * 90,
+    "😀" * 300,
+    "".join(random.Random(9).choice("ACGT") for _ in range(3000)),
+]
+
+
+@pytest.mark.parametrize("chunk, batch", [(3, 50), (16, 997), (128, 1 << 20)])
+def test_counts_do_not_depend_on_chunks_and_batches(rules, library, texts, chunk, batch):
+    some = texts[::7] + RUNS
+    counter = TokenCounter(rules, chunk=chunk, batch=batch)
     wanted = [len(e.ids) for e in library.encode_batch(some, add_special_tokens=False)]
     assert counter.counts(some) == wanted
 
 
-def test_few_states_and_pieces_give_the_same_counts(rules, library, texts):
-    counter = TokenCounter(rules, cache=3)
-    counter.transducer.max_states = 10
-    some = texts[:500]
+def test_few_states_give_the_same_counts(rules, library, texts):
+    counter = TokenCounter(rules, batch=300, max_states=10)
+    some = texts[:500] + RUNS[:3]
     wanted = [len(e.ids) for e in library.encode_batch(some, add_special_tokens=False)]
     assert counter.counts(some) == wanted
 
 
-def test_joining_chunk_maps_is_associative(rules):
-    counter = TokenCounter(rules)
-    a, b, c = (counter.chunk_map(t) for t in ("one tw", "o th", "ree  four"))
-    assert counter.join(counter.join(a, b), c) == counter.join(a, counter.join(b, c))
+def chunk_maps(rules, text, chunk):
+    """Symbols, borders and maps of the chunks of one text, and the counter."""
+    counter = TokenCounter(rules, chunk=chunk)
+    symbols = Symbols.read([(text, 0, len(text))])
+    borders = symbols.chunks(chunk)
+    return counter, symbols, borders, counter.maps(symbols, borders, 0)
+
+
+@pytest.mark.parametrize("text", RUNS)
+def test_tables_of_chunks_hold_what_single_steps_give(rules, text):
+    counter, symbols, borders, maps = chunk_maps(rules, text, 16)
+    states = np.full(1, 0)
+    total, at = 0, 0
+    for k, end in enumerate(borders[1:].tolist()):
+        entry, before = states.copy(), total
+        for place in range(at, end):
+            if place in symbols.starts:
+                states[:] = 0
+            states, emitted = counter.transducer.step(states, symbols.values[place : place + 1])
+            total += int(emitted[0])
+        row = maps.rows(np.array([k]), entry)
+        assert (maps.exit[row], maps.tokens[row]) == (states, total - before)
+        at = end
+
+
+@pytest.mark.parametrize("text", RUNS)
+def test_composing_maps_is_associative(rules, text):
+    *_, maps = chunk_maps(rules, text, 16)
+    count = int(maps.chunk[-1]) + 1
+
+    def shifted(by):
+        """Maps of the chunks by, by + 1, ..., numbered from 0."""
+        held = (maps.chunk >= by) & (maps.chunk < count - 2 + by)
+        return ChunkMaps(maps.chunk[held] - by, *(c[held] for c in maps.columns()[1:]))
+
+    a, b, c = shifted(0), shifted(1), shifted(2)
+    left, right = a.then(b).then(c), a.then(b.then(c))
+    for x, y in zip(left.columns(), right.columns()):
+        assert x.tolist() == y.tolist()
+    scanned = maps.scan(count)
+    state, total = 0, 0
+    for k in range(count):
+        row = maps.rows(np.array([k]), np.array([state]))[0]
+        state, total = int(maps.exit[row]), total + int(maps.tokens[row])
+        assert (scanned.exit[k], scanned.tokens[k]) == (state, total)
 
 
 def test_awkward_rows(spark, library):
