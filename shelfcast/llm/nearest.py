@@ -4,7 +4,8 @@ Each table hashes a vector by floors of random projections. A query visits bucke
 the probability that a neighbour at the usual distance lies there, until the tables together
 would find it with the wanted probability. Buckets are dealt to blocks of bounded size; a query
 travels once to each block that holds one of its buckets, and only its best rows leave it. Queries
-left with too few rows, or with rows farther away than the index is tuned for, search again.
+left with too few rows, or with rows farther away than the index reaches, search again with wider
+buckets.
 """
 
 import math
@@ -24,7 +25,7 @@ from shelfcast.llm.pieces import mix
 class SearchParams:
     """`success` is the wanted chance to find a neighbour at the usual distance of the k-th one.
 
-    `sample` vectors, chosen by a hash, are used to estimate that distance and nothing else.
+    A query whose k-th row would be found with a chance below `least` searches again. `sample` vectors, chosen by a hash, are used to estimate that distance and nothing else.
     """
 
     k: int = 10
@@ -32,6 +33,7 @@ class SearchParams:
     functions: int = 8
     width: float = 1.36  # in usual neighbour distances
     success: float = 0.97
+    least: float = 0.9
     sample: int = 3000
     block_rows: int = 8192
     seed: int = 3
@@ -45,7 +47,11 @@ class Hashing:
     radius: float
     axes: np.ndarray  # tables x dimension x functions
     shifts: np.ndarray  # tables x functions
-    wide_share: float = 0.0  # of the sampled pairs, within twice the radius
+    distances: np.ndarray  # between sampled vectors, sorted
+
+    def share(self, radius):
+        """Share of all rows within a distance of a vector, by the sample."""
+        return np.searchsorted(self.distances, radius, "right") / max(1, len(self.distances))
 
     def places(self, vectors):
         """Projections in units of bucket widths: tables x vectors x functions."""
@@ -60,15 +66,47 @@ class Hashing:
             out = mix(out + cells[..., k].astype(np.int64).view(np.uint64) + np.uint64(k + 1))
         return out.view(np.int64)
 
+    def chances(self, inside, times=1.0):
+        """Per function, the chance that a neighbour at `times` the radius lies 3 buckets before
+        to 3 behind a query that lies `inside` its own."""
+        sigma = times / self.params.width  # of a projected difference, in bucket widths
+        edges = (np.arange(-3, 5)[None] - inside[:, None]) / sigma / 2**0.5
+        return np.diff(np.vectorize(math.erf)(edges), axis=1) / 2
+
+    def reach(self, groups=8):
+        """The distance, in radii, at which neighbours are still found with the chance `least`.
+
+        Estimated over `groups` random places in all tables.
+        """
+        rng = np.random.default_rng(self.params.seed)
+        shape = groups * self.params.tables, self.params.functions
+        visits = [(inside, self.moves(inside).astype(int) + 3) for inside in rng.uniform(size=shape)]
+        functions = np.arange(self.params.functions)
+
+        def success(times):
+            masses = [
+                self.chances(inside, times)[functions, moves].prod(axis=1).sum()
+                for inside, moves in visits
+            ]
+            missed = 1 - np.array(masses).reshape(groups, -1)
+            return 1 - missed.prod(axis=1).mean()
+
+        low, high = 0.25, 4.0
+        while high - low > 0.01:
+            middle = (low + high) / 2
+            low, high = (middle, high) if success(middle) >= self.params.least else (low, middle)
+        return low
+
     def probes(self, place):
         """Names of the buckets that a query at `place` (functions) visits in one table."""
         cell = np.floor(place)
-        inside = place - cell
-        sigma = 1 / self.params.width  # of a projected difference, in bucket widths
+        return self.keys(cell + self.moves(place - cell))
+
+    def moves(self, inside):
+        """Buckets to visit, as steps from the query's own, likeliest first."""
         wanted = 1 - (1 - self.params.success) ** (1 / self.params.tables)
         steps = np.arange(-3, 4)
-        edges = np.vectorize(math.erf)((np.arange(-3, 5)[None] - inside[:, None]) / sigma / 2**0.5)
-        chance = np.diff(edges, axis=1) / 2
+        chance = self.chances(inside)
         best_rest = np.append(np.cumprod(chance.max(axis=1)[::-1])[::-1], 1)
         least = best_rest[0] / 30
         while True:
@@ -85,7 +123,7 @@ class Hashing:
             least /= 3
         order = np.argsort(-total, kind="stable")
         enough = int(np.searchsorted(np.cumsum(total[order]), wanted)) + 1
-        return self.keys(cell + moves[order[:enough]])
+        return moves[order[:enough]]
 
 
 def fit_hashing(vectors, rows, params):
@@ -95,7 +133,7 @@ def fit_hashing(vectors, rows, params):
     """
     vectors = np.asarray(vectors, float)
     dimension = vectors.shape[1] if vectors.ndim == 2 and len(vectors) else 1
-    radius = wide_share = 0.0
+    radius, distances = 0.0, np.zeros((0, 0))
     if len(vectors) > 1:
         ask = vectors[: max(2, min(200, len(vectors)))]
         squares = (ask**2).sum(1)[:, None] + (vectors**2).sum(1)[None] - 2 * ask @ vectors.T
@@ -104,11 +142,10 @@ def fit_hashing(vectors, rows, params):
         radius = float(np.quantile(distances[:, rank], 0.75))
         if radius <= 1e-9:
             radius = float(distances.max())
-        wide_share = float((distances <= 2 * radius).mean())
     rng = np.random.default_rng(params.seed)
     axes = rng.normal(size=(params.tables, dimension, params.functions))
     shifts = rng.uniform(size=(params.tables, params.functions))
-    return Hashing(params, radius or 1.0, axes, shifts, wide_share)
+    return Hashing(params, radius or 1.0, axes, shifts, np.sort(distances, axis=None))
 
 
 def usable_vectors(table, key="vec_id", vector="embedding"):
@@ -145,9 +182,10 @@ def nearest(table, is_query, params=SearchParams(), key="vec_id", vector="embedd
     Equal vectors are indexed once, with the k + 1 smallest of their ids, so that a vector shared by
     many rows is no hot bucket and no row is lost.
     A query with fewer than k rows (where there are as many candidates), or whose k-th row is farther
-    away than the usual distance, is searched again with twice that distance, and where this
-    does not do either, in all blocks, which is exact. Where twice the distance holds so many rows
-    that all tables together would read more than the whole table, all blocks are searched at once.
+    away than the index reaches, is searched again with buckets of at least twice the width, until
+    its k-th row is within reach. Where that distance holds so many rows that all tables together
+    would read more than the whole table, the queries left search all blocks, which is exact;
+    column exact says so.
     """
     ship(table.sparkSession)
     rows = usable_vectors(table, key, vector).select(
@@ -169,26 +207,33 @@ def nearest(table, is_query, params=SearchParams(), key="vec_id", vector="embedd
     k = params.k
     # Candidates of a query, as far as k.
     wanted = classes.select(F.explode("ids").alias("id")).distinct().limit(k + 1).count() - 1
-    wide = [replace(hashing, radius=2 * hashing.radius)] if params.tables * hashing.wide_share < 1 else []
     found = keep(_best(_in_buckets(classes, queries, hashing, n_blocks), k), "found")
-    radius = hashing.radius
-    for wider in [*wide, None]:
+    reach = hashing.reach()
+    searched_all = None
+    while searched_all is None:
         reached = found.groupBy(F.col("query_id").alias("id")).agg(
             F.count("*").alias("n"), F.max("score").alias("far")
         )
         short = queries.join(reached, "id", "left").where(
-            (F.coalesce("n", F.lit(0)) < wanted) | (F.col("far") > radius)
+            (F.coalesce("n", F.lit(0)) < wanted) | (F.col("far") > reach * hashing.radius)
         )
-        short = keep(short.select("id", "vec"), "short")
-        if short.isEmpty():
+        short = keep(short.select("id", "vec", "far"), "short")
+        left, nearest_far = short.agg(F.count("*"), F.min("far")).first()
+        if not left:
             break
-        if wider is None:
-            more = _in_all_blocks(classes, short, n_blocks, params)
+        radius = max(2 * hashing.radius, (nearest_far or 0.0) / reach)
+        if params.tables * hashing.share(radius) < 1:
+            hashing = replace(hashing, radius=radius)
+            more = _in_buckets(classes, short.drop("far"), hashing, n_blocks)
         else:
-            more = _in_buckets(classes, short, wider, n_blocks)
-            radius = wider.radius
+            searched_all = short.select(F.col("id").alias("query_id"), F.lit(True).alias("exact"))
+            more = _in_all_blocks(classes, short.drop("far"), n_blocks, params)
         found = keep(_best(found.select("query_id", "vec_id", "score").union(more), k), "found")
-    return found.select("query_id", "rank", "vec_id", "score")
+    rows = found.select("query_id", "rank", "vec_id", "score")
+    if searched_all is None:
+        return rows.withColumn("exact", F.lit(False))
+    rows = rows.join(searched_all.distinct(), "query_id", "left")
+    return rows.withColumn("exact", F.coalesce("exact", F.lit(False)))
 
 
 def _best(found, k):
@@ -198,7 +243,8 @@ def _best(found, k):
     return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-KEYS = ["table_no", "block", "part"]
+# A group meets one part of a block's rows and one share of its queries.
+KEYS = ["table_no", "block", "part", "share"]
 # Queries of one task that lists buckets; kept tables are read in few large parts.
 TASK_QUERIES = 256
 
@@ -213,7 +259,8 @@ def _in_all_blocks(classes, queries, n_blocks, params):
     stored = classes.select(
         F.lit(0).alias("table_no"),
         F.pmod(F.xxhash64("one", "two"), F.lit(n_blocks)).alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
+        F.lit(0).alias("part"),
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("share"),
         "ids",
         "vec",
         bucket.alias("bucket"),
@@ -221,7 +268,8 @@ def _in_all_blocks(classes, queries, n_blocks, params):
     asked = queries.select(
         F.lit(0).alias("table_no"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("block"),
-        F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"),
+        F.lit(0).alias("part"),
+        F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("share"),
         "id",
         F.col("vec").alias("query_vec"),
         F.array(bucket).alias("buckets"),
@@ -276,22 +324,29 @@ def _in_buckets(classes, queries, hashing, n_blocks):
         ),
         "index",
     )
-    # A block with more rows than planned is split; its queries then visit every part.
-    parts = indexed.groupBy("table_no", "block").agg(
-        F.ceil(F.count("*") / params.block_rows).cast("int").alias("parts")
-    )
-    parts = keep(parts, "parts")
-    stored = indexed.join(parts, ["table_no", "block"]).select(
-        "*", F.pmod(F.xxhash64(F.col("ids")[0]), "parts").cast("int").alias("part")
-    )
     tasks = max(1, math.ceil(queries.count() / TASK_QUERIES))
-    asked = (
-        queries.repartition(tasks, "id")
-        .mapInArrow(
+    asked = keep(
+        queries.repartition(tasks, "id").mapInArrow(
             visits, "id long, vec array<double>, table_no int, block long, buckets array<long>"
-        )
-        .join(parts, ["table_no", "block"])
-        .select("*", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
+        ),
+        "asked",
+    )
+    # A block with more rows or queries than planned is split: queries visit every part of its rows,
+    # and rows every share of its queries.
+    def pieces(table, name):
+        count = F.ceil(F.count("*") / params.block_rows).cast("int")
+        return table.groupBy("table_no", "block").agg(count.alias(name))
+
+    cuts = keep(pieces(indexed, "parts").join(pieces(asked, "shares"), ["table_no", "block"]), "cuts")
+    stored = indexed.join(cuts, ["table_no", "block"]).select(
+        "*",
+        F.pmod(F.xxhash64(F.col("ids")[0]), "parts").cast("int").alias("part"),
+        F.explode(F.expr("sequence(0, shares - 1)")).alias("share"),
+    )
+    asked = asked.join(cuts, ["table_no", "block"]).select(
+        "*",
+        F.pmod(F.xxhash64("id"), "shares").cast("int").alias("share"),
+        F.explode(F.expr("sequence(0, parts - 1)")).alias("part"),
     )
     asked = asked.select(*KEYS, "id", F.col("vec").alias("query_vec"), "buckets")
     return _searched(asked, stored.select(*KEYS, "ids", "vec", "bucket"), params.k)
