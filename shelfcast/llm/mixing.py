@@ -18,6 +18,8 @@ from shelfcast.llm.common import keep
 
 # A table of at most so many rows, a few numbers each, is sent to all tasks.
 SMALL_ROWS = 200_000
+# A source's blocks are ordered in at most 2 ** SLAB_BITS slabs, and inside one of them.
+SLAB_BITS = 16
 
 
 @dataclass(frozen=True)
@@ -144,39 +146,37 @@ def mix_sources(docs, params=MixParams(), source="source"):
             "plan",
         )
     )
-    # Blocks of a source in a random order; the one that holds the end of the share is split.
+    # Blocks of a source in a random order, and the one that holds the end of the share.
     block = F.pmod(F.col("_draw"), F.col("_blocks")).alias("_block")
-    drawn = slim.join(planned, "_source").select("*", block)
     turn = F.xxhash64(F.lit(params.seed), "_source", "_block")
-    so_far = Window.partitionBy("_source").orderBy(turn, "_block")
-    blocks = (
-        drawn.groupBy("_source", "_block", "_rest")
-        .agg(F.sum("mix_tokens").alias("size"))
-        .withColumn("end", F.sum("size").over(so_far.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("start", F.col("end") - F.col("size"))
-        .where(F.col("start") < F.col("_rest"))
-    )
-    blocks = keep(blocks, "blocks")
+    drawn = slim.join(planned, "_source").select("_source", "_draw", "mix_tokens", "_rest", block)
+    borders = _small(keep(_borders(drawn, turn), "borders"))
     inside = F.xxhash64(F.lit(params.seed + 1), "_draw")
-    order = Window.partitionBy("_source", "_block").orderBy("_turn")
+    # Equal rows share a draw: they are counted before the block is ordered.
+    order = Window.partitionBy("_source").orderBy("_turn")
     split = (
-        drawn.join(
-            _small(blocks.where("end > _rest").select("_source", "_block", "start")),
-            ["_source", "_block"],
-        )
-        .withColumn("_turn", inside)
-        .withColumn("reached", F.col("start") + F.sum("mix_tokens").over(order))
-        .where(F.col("reached") <= F.col("_rest"))
-        .groupBy("_source", "_block")
+        drawn.drop("_rest")
+        .join(borders.select("_source", "_block", "start", "_rest"), ["_source", "_block"])
+        .groupBy("_source", "start", "_rest", inside.alias("_turn"))
+        .agg(F.sum("mix_tokens").alias("size"))
+        .withColumn("reached", F.col("start") + F.sum("size").over(order))
+        .where((F.col("start") < F.col("_rest")) & (F.col("reached") <= F.col("_rest")))
+        .groupBy("_source")
         .agg(F.max("_turn").alias("_last"))
     )
-    everything = F.lit(2**63 - 1)
-    whole_blocks = blocks.where("end <= _rest").select("_source", "_block", everything.alias("_last"))
-    taken = _small(keep(whole_blocks.union(split), "taken"))
+    borders = borders.join(split, "_source", "left").select(
+        "_source", F.struct("turn", "_block").alias("_border"), "_last"
+    )
+    planned = _small(keep(planned.join(borders, "_source", "left"), "shares"))
     placed = rows.join(planned, "_source", "left").withColumn("_block", block)
-    once_more = F.coalesce((inside <= F.col("_last")).cast("long"), F.lit(0))
-    copies = F.when(F.col("_whole").isNull(), 1).otherwise(F.col("_whole") + once_more)
-    return placed.join(taken, ["_source", "_block"], "left").select(
+    place = F.struct(turn.alias("turn"), "_block")
+    taken = (
+        F.col("_border").isNull()
+        | (place < F.col("_border"))
+        | ((place == F.col("_border")) & F.coalesce(inside <= F.col("_last"), F.lit(False)))
+    )
+    copies = F.when(F.col("_whole").isNull(), 1).otherwise(F.col("_whole") + taken.cast("long"))
+    return placed.select(
         *docs.columns,
         "mix_tokens",
         F.coalesce("mix_weight", F.lit(0.0)).alias("mix_weight"),
@@ -184,6 +184,36 @@ def mix_sources(docs, params=MixParams(), source="source"):
     )
 
 
+def _borders(drawn, turn):
+    """Per source the block in which its tokens, in the order of turns, reach _rest: _block, turn,
+    start (the tokens before it) and _rest.
+
+    Turns are cut into at most 2 ** SLAB_BITS slabs of equal width. Slabs are summed up first, and
+    only the blocks of the slab that holds the border are ordered.
+    """
+    slab = F.shiftright("turn", 64 - SLAB_BITS).alias("slab")
+    sized = drawn.groupBy("_source", "_block", "_rest").agg(F.sum("mix_tokens").alias("size"))
+    blocks = keep(sized.select("*", turn.alias("turn")).select("*", slab), "blocks")
+
+    def reaching(parts, *order):
+        """The first of the ordered parts of each source that reaches _rest, and what it starts at."""
+        so_far = Window.partitionBy("_source").orderBy(*order)
+        ends = F.col("before") + F.sum("size").over(so_far.rowsBetween(Window.unboundedPreceding, 0))
+        found = parts.withColumn("end", ends).where(F.col("end") >= F.col("_rest"))
+        first = found.groupBy("_source", "_rest").agg(
+            F.min(F.struct(*order, (F.col("end") - F.col("size")).alias("start"))).alias("first")
+        )
+        return first.select("_source", "_rest", "first.*")
+
+    slabs = blocks.groupBy("_source", "_rest", "slab").agg(F.sum("size").alias("size"))
+    slabs = reaching(slabs.withColumn("before", F.lit(0).cast("long")), "slab")
+    inner = blocks.join(
+        _small(keep(slabs.select("_source", "slab", F.col("start").alias("before")), "slabs")),
+        ["_source", "slab"],
+    )
+    return reaching(inner, "turn", "_block")
+
+
 def mixture(docs, params=MixParams(), source="source"):
     """The mixture itself: each row of `docs` as often as its source's share asks for."""
     mixed = mix_sources(docs, params, source)

@@ -249,6 +249,71 @@ def test_weights_are_realised(spark, budget):
     assert by_doc == {r.doc_id: r.mix_copies for r in mixed}
 
 
+def brute_copies(docs, params, weights, budget):
+    """mix_copies of each doc_id: whole blocks, then documents, in the order of their hashes."""
+    source = F.concat(F.lit("="), F.col("source"))
+    hashed = docs.select(
+        "*", source.alias("key"), F.xxhash64(F.lit(params.seed), "doc_id", "text").alias("draw")
+    ).select("*", F.xxhash64(F.lit(params.seed + 1), "draw").alias("inside"))
+    members = {}
+    for r in hashed.collect():
+        members.setdefault(r.source, []).append((r, len(r.text.split())))
+    turns = docs.sparkSession.createDataFrame(
+        [(f"={s}", b) for s, m in members.items() for b in range(math.ceil(len(m) / params.block_rows))],
+        "key string, block long",
+    )
+    turn_of = {
+        (r.key, r.block): r.turn
+        for r in turns.select("*", F.xxhash64(F.lit(params.seed), "key", "block").alias("turn")).collect()
+    }
+    copies = {}
+    for name, held in members.items():
+        blocks = math.ceil(len(held) / params.block_rows)
+        total = sum(n for _, n in held)
+        tokens = weights[name] * budget * (1 + 1e-12)
+        whole = math.floor(tokens / total)
+        rest, used, sized = tokens - whole * total, 0, {}
+        for r, n in held:
+            sized.setdefault(r.draw % blocks, []).append((r.inside, r.doc_id, n))
+        copies |= {r.doc_id: whole for r, _ in held}
+        for block in sorted(sized, key=lambda b: (turn_of[f"={name}", b], b)):
+            if used >= rest:
+                break
+            size = sum(n for *_, n in sized[block])
+            reached = used
+            for _, doc_id, n in sorted(sized[block]):
+                reached += n
+                if reached > rest:
+                    break
+                copies[doc_id] += 1
+            used += size
+    return copies
+
+
+@pytest.mark.parametrize("bits", [1, 16])
+def test_copies_against_brute_force(spark, bits, monkeypatch):
+    monkeypatch.setattr("shelfcast.llm.mixing.SLAB_BITS", bits)
+    rng = np.random.default_rng(8)
+    rows = [
+        (k, " ".join(["w"] * int(rng.integers(0, 9))), "big" if k < 1500 else f"s{k % 3}")
+        for k in range(2000)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    params = MixParams(entropy=0.97, repeats=50.0, budget=7777.0, block_rows=16)
+    mixed = mix_sources(docs, params).collect()
+    weights = {r.source: r.mix_weight for r in mixed}
+    wanted = brute_copies(docs, params, weights, 7777.0)
+    assert {r.doc_id: r.mix_copies for r in mixed} == wanted
+    assert len(set(wanted.values())) > 2
+
+
+def test_equal_rows_are_taken_or_left_together(spark):
+    rows = [(1, "one two three", "a")] * 300 + [(k, "one two", "b") for k in range(2, 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mix_sources(docs, MixParams(budget=1500.0, block_rows=8)).collect()
+    assert len(mixed) == 398 and len({r.mix_copies for r in mixed if r.doc_id == 1}) == 1
+
+
 def test_mixing_bears_awkward_rows(spark):
     docs = with_clashes(awkward(spark))
     mixed = mix_sources(docs).collect()
