@@ -3,10 +3,12 @@
 A passage of `length` bytes that occurs in two documents has the same smallest k-mer in both, so
 only these anchors need to be compared. A first exchange finds the anchors that several
 documents share. For these, the bytes around the anchor (all passages that contain it) go to
-the anchor's bucket. There, equal contexts become one, and the suffixes of different contexts of an
-anchor form a suffix array with common-prefix lengths. A stack scan gives its interval tree; an
-interval whose members are preceded by different bytes is a maximal repeat group with all
-of its occurrences, and the smallest document among them is the one that keeps the passage.
+the anchor's bucket. Equal contexts become one twice, in their block of documents and in the bucket,
+so a passage of many documents weighs one row per block, whatever their number. In the bucket the
+suffixes of different contexts of an anchor form a suffix array with common-prefix lengths. A stack
+scan gives its interval tree; an interval whose members are preceded by different bytes is a maximal
+repeat group, and the smallest document among them is the one that keeps the passage. What a
+context loses goes back to the blocks that sent it, where its occurrences are looked up by hash.
 """
 
 from dataclasses import dataclass
@@ -16,12 +18,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import ship, slices
+from shelfcast.llm.common import ship
 from shelfcast.llm.pieces import mix
 
 SLICE_BYTES = 1 << 20
 # Members of repeat groups that are looked at together; a bound of memory.
 STEP_ROWS = 1 << 19
+# Contexts that are cut or unpacked together; a bound of memory.
+STEP_CONTEXTS = 1 << 18
+MOST = np.iinfo(np.int64).max
 
 
 @dataclass(frozen=True)
@@ -129,60 +134,56 @@ def _unpacked(table, name, dtype):
     return np.frombuffer(b"".join(parts), dtype)
 
 
+def _raw_sizes(table, name):
+    """Number of bytes of each packed value."""
+    return np.array([int.from_bytes(p[:8], "little") for p in table.column(name).to_pylist()], np.int64)
+
+
 SHORT = np.uint64(0xFFFFFFFFFFFF)
 
 
-def _shared_anchors(docs, params, buckets, blocks):
-    """Per block of documents: ids and anchors (48 bits) that another document has, too."""
+def _shared_anchors(placed, params, buckets):
+    """Per block of documents: anchors (48 bits) that another document has, too.
 
-    def emit(batches):
-        for part in slices(batches, limit=SLICE_BYTES):
-            owner, _, hashes = anchors([t.encode() for t in _texts(part)], params)
-            ids = part.column("doc_id").to_numpy(zero_copy_only=False)[owner]
-            bucket = (hashes % np.uint64(buckets)).astype(np.int64)
-            short = (hashes >> np.uint64(16)) & SHORT
-            # The same anchor counts once per document.
-            order = np.lexsort((short, ids, bucket))
-            bucket, ids, short = bucket[order], ids[order], short[order]
-            new = np.ones(len(order), bool)
-            new[1:] = (np.diff(bucket) != 0) | (np.diff(ids) != 0) | (short[1:] != short[:-1])
-            bucket, ids, short = bucket[new], ids[new], short[new]
-            planes = [((short >> np.uint64(s)) & np.uint64(0xFFFF)).astype("<u2") for s in (0, 16, 32)]
-            run = np.ones(len(ids), bool)
-            run[1:] = (np.diff(ids) != 0) | (np.diff(bucket) != 0)
-            at = np.flatnonzero(run)
-            counts = np.diff(np.append(at, len(ids))).astype("<u4")
-            heads = _packed(bucket[at], [ids[at].astype("<i8"), counts], ["bucket", "ids", "counts"])
-            body = _packed(bucket, planes, ["bucket", "h0", "h1", "h2"])
-            both = heads
-            for name in ("h0", "h1", "h2"):
-                both = both.append_column(name, body.column(name))
-            yield from both.to_batches()
+    A block sends each of its anchors once, with a mark if several of its documents have it. Documents
+    of different blocks differ, so an anchor of two blocks is shared, too.
+    """
+
+    def emit(key, table):
+        ids, raw = _usable(table)
+        parts = []
+        for rows, owner, _, hashes in _anchored(raw, params):
+            parts.append((hashes, ids[rows[owner]]))
+        if not parts:
+            parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        hashes, ids = (np.concatenate(c) for c in zip(*parts))
+        hashes, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        marks = np.zeros(len(hashes), np.uint8)
+        marks[which[ids != ids[first][which]]] = 1
+        short = (hashes >> np.uint64(16)) & SHORT
+        planes = [((short >> np.uint64(s)) & np.uint64(0xFFFF)).astype("<u2") for s in (0, 16, 32)]
+        bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+        sent = _packed(bucket, [*planes, marks], ["bucket", "h0", "h1", "h2", "marks"])
+        return sent.append_column("block", pa.array([key[0].as_py()] * len(sent), pa.int64()))
 
     def match(table):
-        ids = np.repeat(_unpacked(table, "ids", "<i8"), _unpacked(table, "counts", "<u4"))
+        marks, sizes = _unpacked(table, "marks", np.uint8), _raw_sizes(table, "marks")
+        block = np.repeat(table.column("block").to_numpy().astype(np.int64), sizes)
         h = [_unpacked(table, f"h{k}", "<u2").astype(np.uint64) for k in range(3)]
         short = h[0] | h[1] << np.uint64(16) | h[2] << np.uint64(32)
         order = np.argsort(short, kind="stable")
-        short, ids = short[order], ids[order]
+        short, block, marks = short[order], block[order], marks[order]
         first = np.flatnonzero(np.append(True, short[1:] != short[:-1])) if len(short) else []
         if not len(first):
-            return _packed(np.zeros(0, np.int64), [ids, short], ["block", "ids", "found"])
-        several = np.minimum.reduceat(ids, first) < np.maximum.reduceat(ids, first)
-        several = np.repeat(several, np.diff(np.append(first, len(ids))))
-        ids, short = ids[several], short[several]
-        order = np.argsort(ids, kind="stable")
-        ids, short = ids[order], short[order]
-        return _packed(_block_of(ids, blocks), [ids, short], ["block", "ids", "found"])
-
-    sent = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(
-        emit, "bucket long, ids binary, counts binary, h0 binary, h1 binary, h2 binary"
-    )
-    return sent.groupBy("bucket").applyInArrow(match, "block long, ids binary, found binary")
-
+            return _packed(block, [short], ["block", "found"])
+        size = np.diff(np.append(first, len(short)))
+        several = np.repeat((size > 1) | (np.maximum.reduceat(marks, first) > 0), size)
+        return _packed(block[several], [short[several]], ["block", "found"])
 
-def _texts(part):
-    return [t or "" for t in part.column("text").to_pylist()]
+    sent = placed.groupBy("_block").applyInArrow(
+        emit, "bucket long, h0 binary, h1 binary, h2 binary, marks binary, block long"
+    )
+    return sent.groupBy("bucket").applyInArrow(match, "block long, found binary")
 
 
 def _block_of(ids, blocks):
@@ -197,68 +198,98 @@ def _prime(least):
     return least
 
 
-def _in_order(table):
-    """Rows of a block: bytes of each distinct (id, text), its id and number among equal ids."""
-    ids = table.column("doc_id").to_pylist()
-    raw = [(t or "").encode() for t in table.column("text").to_pylist()]
-    rows = sorted(range(len(ids)), key=lambda r: (ids[r] is None, ids[r] or 0, raw[r]))
-    numbers, last = [0] * len(ids), None
-    for r in rows:
-        if last is not None and ids[r] == ids[last]:
-            numbers[r] = numbers[last] + (raw[r] != raw[last])
-        last = r
-    return ids, raw, numbers
+def _usable(table):
+    """Ids (-1 where null) and bytes of all rows; rows without an id have no bytes."""
+    ids = table.column("doc_id")
+    known = ids.is_valid().to_pylist()
+    raw = [(t or "").encode() if k else b"" for t, k in zip(table.column("text").to_pylist(), known)]
+    return np.array([-1 if i is None else i for i in ids.to_pylist()], np.int64), raw
+
+
+def _anchored(raw, params):
+    """anchors() of many texts, about SLICE_BYTES at a time, and the numbers of these texts."""
+    k = 0
+    while k < len(raw):
+        begin, total = k, 0
+        while k < len(raw) and (k == begin or total + len(raw[k]) <= SLICE_BYTES):
+            total += len(raw[k])
+            k += 1
+        yield np.arange(begin, k), *anchors(raw[begin:k], params)
+
 
+def _contexts(raw, wanted, params):
+    """Occurrences of wanted anchors (48 bits): text, place, hash, context, bytes before and after.
 
-def _contexts(docs, shared, params, buckets):
-    """Per bucket of anchors: contexts of shared anchors, and where each occurs."""
+    A context holds the bytes of all passages around an anchor; bytes beyond the text are zero.
+    """
     reach, width = params.reach, params.reach + params.length
+    columns = np.arange(width)[None]
+    for rows, owner, place, hashes in _anchored(raw, params) if len(wanted) else ():
+        here = np.isin((hashes >> np.uint64(16)) & SHORT, wanted)
+        owner, place, hashes = owner[here], place[here], hashes[here]
+        sizes = np.array([len(raw[r]) for r in rows], np.int64)
+        before = np.minimum(place, reach)
+        after = np.minimum(sizes[owner] - place, params.length)
+        flat = np.frombuffer(b"".join([bytes(reach), *(raw[r] for r in rows), bytes(width)]), np.uint8)
+        starts = np.cumsum(sizes) - sizes
+        # Steps bound the memory of the contexts of a text full of wanted anchors.
+        for k in range(0, len(owner), STEP_CONTEXTS):
+            part = slice(k, k + STEP_CONTEXTS)
+            context = flat[(starts[owner[part]] + place[part])[:, None] + columns]
+            inside = columns >= (reach - before[part])[:, None]
+            inside &= columns < (reach + after[part])[:, None]
+            context = np.where(inside, context, 0).astype(np.uint8)
+            yield rows[owner[part]], place[part], hashes[part], context, before[part], after[part]
+
+
+def _context_hashes(context, before, after):
+    sizes = before.astype(np.uint64) << np.uint64(32) | after.astype(np.uint64)
+    return mix(_row_hashes(context) ^ mix(sizes))
+
+
+def _distinct(parts):
+    """Rows of the first of equal keys; parts are tuples of arrays, the keys first."""
+    columns = [np.concatenate(c) for c in zip(*parts)]
+    _, first, which = np.unique(columns[0], return_index=True, return_inverse=True)
+    return [c[first] for c in columns], which
+
+
+def _merged(parts):
+    """Equal contexts as one, with their smallest and largest id (the last two columns)."""
+    least, largest = (np.concatenate([p[c] for p in parts]) for c in (-2, -1))
+    columns, which = _distinct([p[:-2] for p in parts])
+    low, high = np.full(len(columns[0]), MOST), np.full(len(columns[0]), -MOST - 1)
+    np.minimum.at(low, which, least)
+    np.maximum.at(high, which, largest)
+    return (*columns, low, high)
+
+
+def _sent_contexts(placed, shared, params, buckets):
+    """Per bucket of anchors: the distinct contexts of each block, with smallest and largest id."""
+    width = params.reach + params.length
 
     def cut(texts, found):
-        ids, raw, numbers = _in_order(texts)
-        wanted_ids, wanted = _unpacked(found, "ids", "<i8"), _unpacked(found, "found", "<u8")
-        names = ["bucket", "context", "before", "after", "ids", "numbers", "places"]
-        usable = [k for k, i in enumerate(ids) if i is not None]
-        pairs = np.unique(mix(wanted_ids.view(np.uint64)) ^ mix(wanted)) if len(wanted) else wanted
-        parts, k = [], 0
-        while k < len(usable) and len(pairs):
-            group, total = [], 0
-            while k < len(usable) and (not group or total + len(raw[usable[k]]) <= SLICE_BYTES):
-                group.append(usable[k])
-                total += len(raw[usable[k]])
-                k += 1
-            owner, place, hashes = anchors([raw[g] for g in group], params)
-            group_ids = np.array([ids[g] for g in group], np.int64)
-            short = (hashes >> np.uint64(16)) & SHORT
-            here = np.isin(mix(group_ids[owner].view(np.uint64)) ^ mix(short), pairs)
-            owner, place, hashes = owner[here], place[here], hashes[here]
-            sizes = np.array([len(raw[g]) for g in group], np.int64)
-            before = np.minimum(place, reach)
-            after = np.minimum(sizes[owner] - place, params.length)
-            flat = np.frombuffer(b"".join([bytes(reach)] + [raw[g] for g in group] + [bytes(width)]), np.uint8)
-            starts = np.cumsum(sizes) - sizes + reach
-            columns = np.arange(width)[None]
-            context = flat[(starts[owner] + place - reach)[:, None] + columns]
-            context = np.where(
-                (columns >= (reach - before)[:, None]) & (columns < (reach + after)[:, None]), context, 0
-            ).astype(np.uint8)
-            parts.append((
-                (hashes % np.uint64(buckets)).astype(np.int64), context, before.astype("<u2"),
-                after.astype("<u2"), group_ids[owner],
-                np.array([numbers[g] for g in group], "<i4")[owner], place.astype("<i8"),
-            ))
-        if not parts:
-            parts = [(np.zeros(0, np.int64), np.zeros((0, width), np.uint8), np.zeros(0, "<u2"),
-                      np.zeros(0, "<u2"), np.zeros(0, np.int64),
-                      np.zeros(0, "<i4"), np.zeros(0, "<i8"))]
-        keys, *columns = [np.concatenate(c) for c in zip(*parts)]
-        return _packed(keys, columns, names)
-
-    kind = (
-        "bucket long, context binary, before binary, after binary, ids binary, numbers binary, "
-        "places binary"
-    )
-    return docs.groupBy("_block").cogroup(shared.groupBy("block")).applyInArrow(cut, kind)
+        ids, raw = _usable(texts)
+        wanted = np.unique(_unpacked(found, "found", "<u8"))
+        none = np.zeros(0, np.int64)
+        parts = [(none.astype(np.uint64), none, np.zeros((0, width), np.uint8), none, none, none, none)]
+        for rows, _, hashes, context, before, after in _contexts(raw, wanted, params):
+            mine = ids[rows]
+            key = _context_hashes(context, before, after)
+            bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+            part = (key, bucket, context, before, after, mine, mine)
+            # Contexts shorter than a passage hold none.
+            long = before + after >= params.length
+            parts.append(_merged([tuple(c[long] for c in part)]))
+        _, bucket, context, before, after, least, largest = _merged(parts)
+        return _packed(
+            bucket,
+            [context, before.astype("<u2"), after.astype("<u2"), least.astype("<i8"), largest.astype("<i8")],
+            ["bucket", "context", "before", "after", "least", "largest"],
+        )
+
+    kind = "bucket long, context binary, before binary, after binary, least binary, largest binary"
+    return placed.groupBy("_block").cogroup(shared.groupBy("block")).applyInArrow(cut, kind)
 
 
 def _row_hashes(rows):
@@ -375,66 +406,78 @@ def repeated_columns(contexts, before, after, groups, smallest, params):
     return row, start, end
 
 
-def _spans(contexts, params, blocks):
-    """Per block of documents: spans (id, number, start, end) that smaller documents have, too."""
+def _answers(contexts, params, blocks):
+    """Per block of documents: what its contexts lose, told by hash of the context.
+
+    Where `ends` is -1, documents after `owners` lose the whole context. Otherwise the document
+    `owners`, the first one with this context, loses its bytes from `starts` to `ends`.
+    """
     reach, width = params.reach, params.reach + params.length
+    names = ["block", "shorts", "keys", "owners", "starts", "ends"]
 
     def search(table):
-        context = _unpacked(table, "context", np.uint8).reshape(-1, width)
-        before, after = _unpacked(table, "before", "<u2"), _unpacked(table, "after", "<u2")
-        ids = _unpacked(table, "ids", "<i8")
-        numbers, places = _unpacked(table, "numbers", "<i4"), _unpacked(table, "places", "<i8")
-        names = ["block", "ids", "numbers", "starts", "ends"]
-        if not len(ids):
-            return _packed(ids, [ids] * 4, names)
-        sizes = before.astype(np.uint64) << np.uint64(32) | after
-        _, sample, which = np.unique(
-            mix(_row_hashes(context) ^ mix(sizes)), return_index=True, return_inverse=True
-        )
-        smallest = np.full(len(sample), np.iinfo(np.int64).max)
-        np.minimum.at(smallest, which, ids)
-        # Every later occurrence of a whole context goes.
-        long = before.astype(int) + after >= params.length
-        later = (ids > smallest[which]) & long
-        out = [(ids[later], numbers[later], (places - before)[later], (places + after)[later])]
-        anchor = _row_hashes(context[sample][:, reach : reach + params.anchor])
-        _, group, size = np.unique(anchor, return_inverse=True, return_counts=True)
-        several = np.flatnonzero(size[group] > 1)
+        seen, pairs = [], []
+        # Every block sends a context once; only the first of all blocks is kept.
+        sizes = _raw_sizes(table, "context")
+        step = (np.cumsum(sizes) - sizes) // (STEP_CONTEXTS * width)
+        for rows in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(step)) + 1):
+            part = table.take(pa.array(rows))
+            context = _unpacked(part, "context", np.uint8).reshape(-1, width)
+            before, after = _unpacked(part, "before", "<u2"), _unpacked(part, "after", "<u2")
+            key = _context_hashes(context, before, after)
+            pairs.append((key, _unpacked(part, "least", "<i8"), _unpacked(part, "largest", "<i8")))
+            seen.append(_distinct([(key, context, before, after)])[0])
+        (distinct, context, before, after), _ = _distinct(seen)
+        keys, least, largest = (np.concatenate(c) for c in zip(*pairs))
+        which = np.searchsorted(distinct, keys)
+        smallest = np.full(len(distinct), MOST)
+        np.minimum.at(smallest, which, least)
+        anchored = np.ascontiguousarray(context[:, reach : reach + params.anchor])
+        # Blocks with a document after the first one lose the whole context there.
+        later = np.flatnonzero(largest > smallest[which])
+        out = [(_block_of(least[later], blocks), which[later], np.full(len(later), -1), np.full(len(later), -1))]
         # The first document of a context loses what an even smaller one has.
+        _, group, size = np.unique(_row_hashes(anchored), return_inverse=True, return_counts=True)
+        several = np.flatnonzero(size[group] > 1)
         member, start, end = repeated_columns(
-            context[sample[several]],
-            before[sample[several]],
-            after[sample[several]],
-            group[several],
-            smallest[several],
-            params,
+            context[several], before[several], after[several], group[several], smallest[several], params
         )
-        if len(member):
-            member = several[member]
-            first = np.flatnonzero(ids == smallest[which])
-            order = first[np.argsort(which[first], kind="stable")]
-            begin = np.searchsorted(which[order], member, "left")
-            steps = np.searchsorted(which[order], member, "right") - begin
-            hits = np.repeat(begin - (np.cumsum(steps) - steps), steps) + np.arange(steps.sum())
-            rows = order[hits]
-            origin = places[rows] - reach
-            out.append(
-                (ids[rows], numbers[rows], origin + np.repeat(start, steps), origin + np.repeat(end, steps))
-            )
-        ids, numbers, starts, ends = [np.concatenate(c) for c in zip(*out)]
-        # Spans of one document that overlap become one.
-        order = np.lexsort((starts, numbers, ids))
-        ids, numbers, starts, ends = (c[order] for c in (ids, numbers, starts, ends))
-        return _packed(
-            _block_of(ids, blocks),
-            [ids, numbers.astype("<i4"), starts.astype("<i8"), ends.astype("<i8")],
-            names,
-        )
-
-    kind = "block long, ids binary, numbers binary, starts binary, ends binary"
+        member = several[member]
+        out.append((_block_of(smallest[member], blocks), member, start, end))
+        block, place, starts, ends = (np.concatenate(c) for c in zip(*out))
+        told, back = np.unique(place, return_inverse=True)
+        hashes = kmer_hashes(anchored[told].ravel(), params.anchor)[:: params.anchor] if len(told) else told
+        shorts = (hashes.astype(np.uint64) >> np.uint64(16)) & SHORT
+        columns = [shorts[back], distinct[place], smallest[place], starts.astype("<i2"), ends.astype("<i2")]
+        return _packed(block, columns, names)
+
+    kind = "block long, shorts binary, keys binary, owners binary, starts binary, ends binary"
     return contexts.groupBy("bucket").applyInArrow(search, kind)
 
 
+def _spans(ids, raw, found, params):
+    """Rows of a block with the bytes they lose: row, start, end; found are answers of the block."""
+    keys, owners = _unpacked(found, "keys", "<u8"), _unpacked(found, "owners", "<i8")
+    starts, ends = _unpacked(found, "starts", "<i2"), _unpacked(found, "ends", "<i2")
+    order = np.argsort(keys, kind="stable")
+    keys, owners, starts, ends = (c[order] for c in (keys, owners, starts, ends))
+    none = np.zeros(0, np.int64)
+    out = [(none, none, none)]
+    wanted = np.unique(_unpacked(found, "shorts", "<u8"))
+    for rows, place, _, context, before, after in _contexts(raw, wanted, params):
+        key = _context_hashes(context, before, after)
+        begin = np.searchsorted(keys, key, "left")
+        steps = np.searchsorted(keys, key, "right") - begin
+        answer = np.repeat(begin - (np.cumsum(steps) - steps), steps) + np.arange(steps.sum())
+        rows, place, before, after = (np.repeat(c, steps) for c in (rows, place, before, after))
+        whole = ends[answer] < 0
+        lost = np.where(whole, ids[rows] > owners[answer], ids[rows] == owners[answer])
+        start = np.where(whole, place - before, place - params.reach + starts[answer])
+        end = np.where(whole, place + after, place - params.reach + ends[answer])
+        out.append((rows[lost], start[lost], end[lost]))
+    return [np.concatenate(c) for c in zip(*out)]
+
+
 def _union(starts, ends, size):
     """Disjoint sorted spans that cover the same bytes; neighbours that touch are one."""
     depth = np.zeros(size + 1, np.int64)
@@ -456,31 +499,28 @@ def repeated_spans(docs, finish, fields, params=RepeatParams()):
     ship(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, blocks = max(64, size // params.bucket_bytes), _prime(max(64, size // params.block_bytes))
-    shared = _shared_anchors(docs, params, buckets, blocks)
     columns = docs.columns
 
-    # Both uses of the documents read one exchange.
+    # All three uses of the documents read one exchange.
     place = F.coalesce("doc_id", F.xxhash64("text"), F.lit(0))
     placed = docs.withColumn("_block", F.pmod(place, F.lit(blocks)))
-    spans = _spans(_contexts(placed, shared, params, buckets), params, blocks)
+    shared = _shared_anchors(placed, params, buckets)
+    answers = _answers(_sent_contexts(placed, shared, params, buckets), params, blocks)
 
     def last(table, found):
-        ids, raw, numbers = _in_order(table)
-        span_ids, span_numbers = _unpacked(found, "ids", "<i8"), _unpacked(found, "numbers", "<i4")
-        starts, ends = _unpacked(found, "starts", "<i8"), _unpacked(found, "ends", "<i8")
-        order = np.lexsort((span_numbers, span_ids))
-        span_ids, span_numbers, starts, ends = (
-            c[order] for c in (span_ids, span_numbers, starts, ends)
-        )
-        lists = []
-        for i, text, number in zip(ids, raw, numbers):
-            a, b = (0, 0) if i is None else (np.searchsorted(span_ids, i, s) for s in ("left", "right"))
-            c = a + np.searchsorted(span_numbers[a:b], number, "left")
-            d = a + np.searchsorted(span_numbers[a:b], number, "right")
-            lists.append(_union(starts[c:d], ends[c:d], len(text)) if d > c else ((), ()))
+        ids, raw = _usable(table)
+        rows, starts, ends = _spans(ids, raw, found, params)
+        order = np.argsort(rows, kind="stable")
+        rows, starts, ends = rows[order], starts[order], ends[order]
+        edges = np.searchsorted(rows, np.arange(len(raw) + 1))
+        lists = [
+            _union(starts[a:b], ends[a:b], len(text)) if b > a else ((), ())
+            for text, a, b in zip(raw, edges[:-1], edges[1:])
+        ]
+        raw = [(t or "").encode() for t in table.column("text").to_pylist()]
         return finish(table.select(columns), raw, lists)
 
-    return placed.groupBy("_block").cogroup(spans.groupBy("block")).applyInArrow(last, fields)
+    return placed.groupBy("_block").cogroup(answers.groupBy("block")).applyInArrow(last, fields)
 
 
 def _kept(raw, starts, ends):

@@ -23,6 +23,7 @@ from shelfcast.llm.near_dup import (
     near_duplicates,
     super_min_hash,
 )
+from shelfcast.llm import repeats
 from shelfcast.llm.repeats import (
     RepeatParams,
     drop_repeats,
@@ -176,6 +177,23 @@ def test_repeats_bear_awkward_rows(spark):
     assert repeat_digest(empty(spark)).count() == 0
 
 
+def test_a_hot_passage_is_sent_once_per_block(spark):
+    """Copies of a passage weigh one context per block and anchor, whatever their number."""
+    rng = random.Random(3)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(90))
+    rows = [(i, f"{i % 3} {passage}" if i % 3 else f"{i} alone") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    placed = docs.withColumn("_block", F.pmod("doc_id", F.lit(67)))
+    params = RepeatParams()
+    shared = repeats._shared_anchors(placed, params, 64)
+    size = F.conv(F.hex(F.reverse(F.substring("least", 1, 8))), 16, 10).cast("long") / 8
+    sent = repeats._sent_contexts(placed, shared, params, 64).select(size.alias("n")).agg(F.sum("n"))
+    each = len(repeats.anchors([text.encode() for _, text in rows[1:3]], params)[0])
+    assert 0 < sent.first()[0] <= 67 * each
+    got = sorted(map(tuple, repeat_digest(docs, params).collect()), key=str)
+    assert got == brute_repeats(rows, 50)
+
+
 def test_interval_tree_lists_all_members():
     # Common lengths 60, 55, -, 70: {0,1,2} share 55, {0,1} share 60, {3,4} share 70.
     lengths = np.array([0, 60, 55, 3, 70])
