@@ -218,27 +218,31 @@ def _anchored(raw, params):
 
 
 def _contexts(raw, wanted, params):
-    """Occurrences of wanted anchors (48 bits): text, place, hash, context, bytes before and after.
+    """Occurrences of wanted anchors (48 bits, sorted): text, place, hash, context, its sizes.
 
-    A context holds the bytes of all passages around an anchor; bytes beyond the text are zero.
+    A context holds the bytes of all passages around an anchor, so many before and from it on;
+    bytes beyond the text are zero.
     """
     reach, width = params.reach, params.reach + params.length
     columns = np.arange(width)[None]
     for rows, owner, place, hashes in _anchored(raw, params) if len(wanted) else ():
-        here = np.isin((hashes >> np.uint64(16)) & SHORT, wanted)
+        short = (hashes >> np.uint64(16)) & SHORT
+        at = np.minimum(np.searchsorted(wanted, short), len(wanted) - 1)
+        here = wanted[at] == short
         owner, place, hashes = owner[here], place[here], hashes[here]
         sizes = np.array([len(raw[r]) for r in rows], np.int64)
         before = np.minimum(place, reach)
         after = np.minimum(sizes[owner] - place, params.length)
         flat = np.frombuffer(b"".join([bytes(reach), *(raw[r] for r in rows), bytes(width)]), np.uint8)
-        starts = np.cumsum(sizes) - sizes
+        around = np.lib.stride_tricks.sliding_window_view(flat, width)
+        starts = (np.cumsum(sizes) - sizes)[owner] + place
         # Steps bound the memory of the contexts of a text full of wanted anchors.
         for k in range(0, len(owner), STEP_CONTEXTS):
             part = slice(k, k + STEP_CONTEXTS)
-            context = flat[(starts[owner[part]] + place[part])[:, None] + columns]
-            inside = columns >= (reach - before[part])[:, None]
-            inside &= columns < (reach + after[part])[:, None]
-            context = np.where(inside, context, 0).astype(np.uint8)
+            context = around[starts[part]]
+            edge = np.flatnonzero((before[part] < reach) | (after[part] < params.length))
+            low, high = reach - before[part][edge], reach + after[part][edge]
+            context[edge] *= (columns >= low[:, None]) & (columns < high[:, None])
             yield rows[owner[part]], place[part], hashes[part], context, before[part], after[part]
 
 
@@ -273,6 +277,7 @@ def _sent_contexts(placed, shared, params, buckets):
         wanted = np.unique(_unpacked(found, "found", "<u8"))
         none = np.zeros(0, np.int64)
         parts = [(none.astype(np.uint64), none, np.zeros((0, width), np.uint8), none, none, none, none)]
+        fresh = 0
         for rows, _, hashes, context, before, after in _contexts(raw, wanted, params):
             mine = ids[rows]
             key = _context_hashes(context, before, after)
@@ -280,7 +285,10 @@ def _sent_contexts(placed, shared, params, buckets):
             part = (key, bucket, context, before, after, mine, mine)
             # Contexts shorter than a passage hold none.
             long = before + after >= params.length
-            parts.append(_merged([tuple(c[long] for c in part)]))
+            parts.append(tuple(c[long] for c in part))
+            fresh += len(part[0])
+            if fresh > STEP_CONTEXTS:
+                parts, fresh = [_merged(parts)], 0
         _, bucket, context, before, after, least, largest = _merged(parts)
         return _packed(
             bucket,
