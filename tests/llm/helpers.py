@@ -74,21 +74,27 @@ def brute_components(rows, size, percent=80):
     return {i: (len(s), root(i)) for i, s in sets.items()}
 
 
-def brute_repeats(rows, length):
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of (doc_id, text) rows."""
+def brute_kept(rows, length):
+    """(doc_id, bytes, mark per byte that goes, between two zeros) of (doc_id, text) rows."""
     first = {}
     for i, text in rows:
         raw = (text or "").encode()
         for k in range(len(raw) - length + 1) if i is not None else ():
             gram = raw[k : k + length]
             first[gram] = min(first.get(gram, i), i)
-    out = []
     for i, text in rows:
         raw = (text or "").encode()
         gone = np.zeros(len(raw) + 2, bool)
         for k in range(len(raw) - length + 1) if i is not None else ():
             if first[raw[k : k + length]] < i:
                 gone[k + 1 : k + 1 + length] = True
+        yield i, raw, gone
+
+
+def brute_repeats(rows, length):
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of (doc_id, text) rows."""
+    out = []
+    for i, raw, gone in brute_kept(rows, length):
         kept = bytes(b for b, g in zip(raw, gone[1:-1]) if not g)
         spans = int((np.diff(gone.astype(int)) == 1).sum())
         out.append((i, len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
