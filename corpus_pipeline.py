@@ -27,8 +27,9 @@ def toxicity(spark, docs, sf_dir):
 
     The model learns from labelled documents outside of the fold crc32(doc_id) % 4 = 2.
     """
-    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(fold("doc_id", 4) != 2)
-    scored = score_toxicity(docs, fit_toxicity(docs, labels))
+    learned = fold("doc_id", 4) != 2
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(learned)
+    scored = score_toxicity(docs, fit_toxicity(docs.where(learned), labels))
     return scored.where(F.col("score") < F.col("threshold")).select(*docs.columns)
 
 

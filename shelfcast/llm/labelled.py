@@ -1,4 +1,4 @@
-"""Bounded samples of labelled documents, and folds by document id."""
+"""Labelled documents, bounded samples of them, and folds by document id."""
 
 from pyspark.sql import functions as F
 
@@ -8,6 +8,16 @@ def fold(key, parts):
     return F.crc32(F.col(key).cast("string").cast("binary")) % parts
 
 
+def one_label(labels, label):
+    """doc_id and label, one row per labelled document: of several labels, the largest."""
+    return (
+        labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+        .groupBy("doc_id")
+        .agg(F.max(label).alias(label))
+        .where(F.col(label).isin(0, 1))
+    )
+
+
 def balanced_sample(docs, labels, label, per_class, max_chars, columns=("doc_id", "text")):
     """Up to `per_class` documents with label 1 and with label 0, chosen by a hash of their ids.
 

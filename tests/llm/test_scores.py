@@ -117,6 +117,51 @@ def test_fitted_thresholds_know_the_true_share(spark, monkeypatch):
     assert got[0][1] == pytest.approx(0.1) and np.mean([y for _, y, _ in got[0][0]]) > 0.3
 
 
+def test_all_labelled_documents_count(spark, monkeypatch):
+    """Many more than one shard holds, a long text among them: learned from or in a tally, all."""
+    rng, seen = random.Random(8), []
+    bad = [f"bad{k}" for k in range(12)]
+    rows = [(k, int(k % 4 == 0), [f"w{rng.randrange(200)}" for _ in range(15)]) for k in range(1200)]
+    rows = [(k, y, " ".join([*words, bad[k // 4 % 12]] if y else words)) for k, y, words in rows]
+    long = next(k for k, y, _ in rows if not y)
+    rows[long] = (long, 0, rows[long][2] + " w1" * 40_000)
+    docs = spark.createDataFrame([(k, t, "en") for k, _, t in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, y, 1) for k, y, _ in rows], LABELS)
+    calibrate = tx.calibrate
+    monkeypatch.setattr(tx, "calibrate", lambda m, sample, prior: seen.extend(sample) or calibrate(m, sample, prior))
+    train_shards = tx.train_shards
+    learned = []
+    monkeypatch.setattr(
+        tx, "train_shards", lambda rows, *rest: learned.append(rows.count()) or train_shards(rows, *rest)
+    )
+    model = tx.fit_toxicity(docs, labels, params=tx.ToxicityParams(per_class=75, buckets=1 << 12, steps=200, batch=8))
+    assert learned[0] + sum(t.n for t, _, _ in seen) == len(rows)
+    scores = [model.score(tx.word_rows([t], model.params)[0]) for _, _, t in rows]
+    assert auc(scores, [y for _, y, _ in rows]) > 0.9 and set(model.thresholds) == {"en"}
+    calls = []
+    start = tx.Learner(tx.new_model(model.params))
+    monkeypatch.setattr(tx, "_started", lambda rows, *rest: calls.append(rows.count()) or start)
+    monkeypatch.setattr(
+        tx, "_mean_change", lambda rows, *rest: calls.append(rows.count()) or 0 * start.numbers()
+    )
+    tx.fit_toxicity(docs, labels, params=model.params)
+    assert calls[0] < 300 and calls[1:] == [learned[0]] * model.params.passes
+    files = tx.dealt(docs, labels, "toxic", model.params)
+    files = files.withColumn("file", F.input_file_name()).select("shard", "file").distinct()
+    assert files.count() == files.select("shard").distinct().count() == 9
+
+
+def test_tallies_give_the_thresholds_of_their_texts(spark, insults):
+    model = tx.train(insults[:200], SMALL, 1 / 3)
+    rows = [(t, y, "de" if k % 4 else None) for k, (t, y) in enumerate(insults[200:])]
+    df = spark.createDataFrame(rows, "text string, toxic int, lang string").repartition(5)
+    found = tx.tallies(df, "toxic", model)
+    assert sum(t.n for t, _, _ in found) == len(rows) and len(found) < len(rows)
+    by_tally = dict(tx.calibrate(model, found, 0.2).thresholds)
+    model.thresholds.clear()
+    assert tx.calibrate(model, rows, 0.2).thresholds == by_tally and set(by_tally) == {"de", None}
+
+
 def test_quality_knows_noise(junk):
     model = ql.train(junk[:350], BRIEF, 0.5)
     scores = ql.scores([t for t, _ in junk[350:]], model)
