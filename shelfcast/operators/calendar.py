@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfcast.functions.dates import parse, shift, to_day, to_int, weekday
+from shelfcast.functions.dates import parse, shift, to_day, weekday
 from shelfcast.operators.windows import assign_windows, date_range, small_calendar
 from shelfcast.sources.schemas import WEATHER_COLUMNS
 
@@ -22,13 +22,16 @@ def _label_start(windows):
 def explode_days(rows, windows, days=SKELETON_DAYS):
     """Repeat each row of a window for `days` days from the window's label start.
 
-    The days are generated inside the row from a literal range, so nothing is joined or shuffled.
+    The days are literal arrays, generated inside the row: nothing is computed per row, joined or
+    shuffled.
     """
-    start = _label_start(windows)
-    dates = F.transform(
-        F.sequence(F.lit(0), F.lit(days - 1)), lambda i: to_int(F.date_add(start, i))
-    )
-    return rows.withColumn("data_date", F.explode(dates))
+    dates = None
+    for w in windows:
+        labels = F.lit([shift(w.label[0], i) for i in range(days)]).cast("array<int>")
+        here = F.col("window_id") == w.window_id
+        dates = F.when(here, labels) if dates is None else dates.when(here, labels)
+    unknown = F.array_repeat(F.lit(None).cast("int"), days)
+    return rows.withColumn("data_date", F.explode(dates.otherwise(unknown)))
 
 
 def day_skeleton(targets, relation, windows, days=SKELETON_DAYS):

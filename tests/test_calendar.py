@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from support import rows
 
 from shelfcast.operators import calendar as cal
@@ -62,3 +63,19 @@ def test_a_repeated_date_keeps_one_whole_row(spark, targets, relation):
     got = cal.calendar_features(cal.day_skeleton(targets, relation, DAYS), DAYS, plan)
     met = got.filter("data_date = 20170515").select("marketing", "plan").distinct()
     assert [tuple(r) for r in met.collect()] == [(1, 9)]
+
+
+def test_label_days_are_literals(spark):
+    """No date is computed per row; rows of no known window keep their days, without a date."""
+    windows = [WindowSpec(0, (20170101, 20170131), (20170220, 20170326)), WindowSpec(1, (20170301, 20170331), (20171220, 20180123))]
+    rows = spark.createDataFrame([(0, 11), (1, 11), (7, 12), (None, 13)], "window_id int, sku_id long")
+    days = cal.explode_days(rows, windows)
+    plan = days._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "date_add" not in plan
+    got = days.groupBy("window_id").agg(F.count(F.lit(1)), F.min("data_date"), F.max("data_date"), F.count_distinct("data_date"))
+    assert {tuple(r) for r in got.collect()} == {
+        (0, 35, 20170220, 20170326, 35),
+        (1, 35, 20171220, 20180123, 35),
+        (7, 35, None, None, 0),
+        (None, 35, None, None, 0),
+    }
