@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import discard, keep, record_batch, ship, slices, texts
@@ -364,8 +365,10 @@ def calibrate(model, sample, prior=None):
 def dealt(docs, labels, label, params):
     """Text, lang and label of every labelled document, kept in files by shard, in a fixed order.
 
-    Shards are those partitions by doc_id in which documents meet their labels, so that texts move
-    once. `held` marks a fifth of the documents, chosen by a hash.
+    Labels travel as rows of their own to the shard of their document and are read there, so that
+    texts move once. The partitions are made by shard: whatever their number, a shard lies in one of
+    them; there are more than shards, so that few share one. `held` marks a fifth of the documents,
+    chosen by a hash.
     """
     found = keep(one_label(labels, label), "labels")
     many = docs.agg(F.count("text"), F.sum(F.length("text").cast("long"))).first()
@@ -373,12 +376,19 @@ def dealt(docs, labels, label, params):
     chars = n * (many[1] or 0) // max(many[0], 1)
     shards = 1 + max(n // (2 * params.per_class), chars // SHARD_CHARS)
     texts = docs.select(F.col("doc_id").cast("long"), "text", "lang").where(F.col("text").isNotNull())
-    found_by = found.select(F.col("doc_id").cast("long"), label).repartition(shards, "doc_id")
-    rows = texts.repartition(shards, "doc_id").join(found_by, "doc_id").select(
+    found_by = found.select(F.col("doc_id").cast("long"), label)
+    both = (
+        texts.unionByName(found_by, allowMissingColumns=True)
+        .where(F.col("doc_id").isNotNull())
+        .withColumn("shard", F.pmod(F.hash("doc_id"), F.lit(shards)).cast("long"))
+        .repartition(4 * shards, "shard")
+    )
+    labelled = both.withColumn(label, F.max(label).over(Window.partitionBy("shard", "doc_id")))
+    rows = labelled.where(F.col("text").isNotNull() & F.col(label).isNotNull()).select(
         "text",
         "lang",
         label,
-        F.pmod(F.hash("doc_id"), F.lit(shards)).cast("long").alias("shard"),
+        "shard",
         F.xxhash64(F.lit(params.seed), "doc_id", "text").alias("place"),
         (F.xxhash64("doc_id") % 5 == 0).alias("held"),
     )

@@ -151,6 +151,29 @@ def test_all_labelled_documents_count(spark, monkeypatch):
     assert files.count() == files.select("shard").distinct().count() == 9
 
 
+def test_a_shard_makes_one_change_for_any_partitions(spark, monkeypatch):
+    """A pass gives one change for each shard, also where a cluster has many more partitions."""
+    docs = spark.createDataFrame(
+        [(k % 390 if k % 7 else None, f"w{k % 50} x", "en") for k in range(400)],
+        "doc_id long, text string, lang string",
+    )
+    labels = spark.createDataFrame([(k, k % 2, 1) for k in range(0, 500, 2)] + [(None, 1, 1)], LABELS)
+    params = tx.ToxicityParams(per_class=40, buckets=1 << 8, steps=2)
+    repartition, made = type(docs).repartition, []
+    monkeypatch.setattr(
+        type(docs), "repartition",
+        lambda df, n, *keys: repartition(df, max(n, 40) if keys else n, *keys),
+    )
+    rows = tx.dealt(docs, labels, "toxic", params)
+    by_id = [k % 390 for k in range(400) if k % 7 and k % 390 % 2 == 0]
+    assert rows.count() == len(by_id)
+    shards = rows.select("shard").distinct().count()
+    group = type(docs).groupBy
+    monkeypatch.setattr(type(docs), "groupBy", lambda df, *by: made.append(df) or group(df, *by))
+    tx._mean_change(rows, "toxic", tx.Learner(tx.new_model(params)), (1.0, 1.0), 0)
+    assert shards > 1 and made[0].where("slice = 0").count() == shards
+
+
 def test_tallies_give_the_thresholds_of_their_texts(spark, insults):
     model = tx.train(insults[:200], SMALL, 1 / 3)
     rows = [(t, y, "de" if k % 4 else None) for k, (t, y) in enumerate(insults[200:])]
