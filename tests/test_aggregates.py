@@ -219,6 +219,26 @@ def test_ranks_where_half_of_all_rows_are_tied(spark, monkeypatch):
     np.testing.assert_array_equal(got.falling, pdf.v.rank(method="min", ascending=False))
 
 
+def test_ranks_of_few_values_move_no_rows(spark):
+    """Series with few values are looked up in place; gaps, NaN and rows without key as in a join."""
+    rows = [(k % 2, k, float(k % 5) if k % 3 else None, float(k)) for k in range(60)]
+    rows += [(0, 60, float("nan"), 1.0), (0, 61, float("nan"), 2.0), (0, None, 3.0, 5.0), (None, 62, 2.0, 1.0)]
+    df = spark.createDataFrame(rows, "window_id int, sku_id long, v double, w double").coalesce(3)
+    specs = [
+        RankSpec("v", "average"),
+        RankSpec("v", "falling", "min", False),
+        RankSpec("v", "filled", "min", True, None, 0.5),
+        RankSpec("w", "other"),
+    ]
+    ranked = rank_columns(df, specs, by_value=True)
+    plan = ranked.drop("filled")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan and "Aggregate" not in plan.split("MapInArrow")[0]
+    want = rank_columns(df, specs, by_value=False)
+    got, rows = (r.where("sku_id IS NOT NULL") for r in (ranked, want))
+    assert got.columns == rows.columns and got.exceptAll(rows).count() == rows.exceptAll(got).count() == 0
+    assert [*ranked.where("sku_id IS NULL").select("average", "falling", "other").first()] == [None] * 3
+
+
 def test_rank_fusion(spark):
     scores = spark.createDataFrame(
         [(1, 1, 0.1, 0.9), (1, 2, 0.5, 0.5), (1, 3, 0.9, 0.1), (2, 4, 1.0, 1.0)],
