@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import weekday
 from shelfcast.functions.numeric import sql_ratio
-from shelfcast.operators.ordered import exact_medians, many_values
+from shelfcast.operators.ordered import exact_medians, many_values, middle_values, running_counts
 from shelfcast.sources.schemas import BEHAVIOUR_MEASURES, CATEGORY_COLUMNS
 from shelfcast.sources.staging import stage
 
@@ -101,53 +101,45 @@ def pairs_of(counted):
     return counted.select("window_id", "goods_id", "sku_id").distinct()
 
 
-_LEVEL = ["window_id", "level", "k_goods", "k_sku"]
+def _quantities(counted, key, sliced):
+    """Statistics of the quantities of each (window_id, *key), from value_counts().
 
-
-def _level_counts(counted):
-    """Counts per value at all keys of THREE_KEYS in one table; a key that is left out is -1."""
-    none = F.lit(-1).cast("bigint")
-    levels = [
-        F.struct(
-            F.lit(i).alias("level"),
-            (F.col("goods_id") if "goods_id" in key else none).alias("k_goods"),
-            (F.col("sku_id") if "sku_id" in key else none).alias("k_sku"),
-        )
-        for i, key in enumerate(THREE_KEYS)
-    ]
-    return (
-        counted.filter("value IS NOT NULL")
-        .select("window_id", "value", "n", F.inline(F.array(*levels)))
-        .filter("k_goods IS NOT NULL AND k_sku IS NOT NULL")
-        .groupBy(*_LEVEL, "value")
-        .agg(F.sum("n").alias("n"))
-    )
-
-
-def _weighted_moments(counts):
-    """Statistics of values that occur n times: two rounds, around each group's own mean."""
-    first = counts.groupBy(*_LEVEL).agg(
-        F.sum("n").alias("count"),
-        F.sum(F.col("n") * F.col("value")).alias("sum"),
-        F.max("value").alias("max"),
-        F.min("value").alias("min"),
-    )
-    first = first.withColumn("mean", F.col("sum") / F.col("count"))
-    away = F.col("value") - F.col("mean")
-    powers = [F.sum(F.col("n") * F.pow(away, F.lit(k))).alias(f"p{k}") for k in (2, 3, 4)]
-    spread = (
-        counts.join(first.select(*_LEVEL, "mean"), _LEVEL).groupBy(*_LEVEL).agg(*powers)
+    A row knows its place and its group's totals after one ordered step, so the median and the
+    moments around the group's own mean come from the same rows.
+    """
+    keys = ["window_id", *key]
+    counts = counted.dropna(subset=["value", *key])
+    if key != GOODS_SKU:
+        counts = counts.groupBy(*keys, "value").agg(F.sum("n").alias("n"))
+    counts = counts.withColumn("units", F.col("n") * F.col("value"))
+    ranked = running_counts(counts, keys, ["value"], ["n", "units"], sliced)
+    away = "(value - units_total / n_total)"
+    placed = ranked.selectExpr(
+        *keys, "value", "n", "n_total", "units_total", f"{away} AS away", *middle_values("n")
     )
+    powers = [f"sum(n * pow(away, {k})) AS p{k}" for k in (2, 3, 4)]
     uneven = "max > min"
-    return first.join(spread, _LEVEL).selectExpr(
-        *_LEVEL,
-        "sum",
-        "mean",
-        f"CASE WHEN {uneven} THEN p3 / count / pow(p2 / count, 1.5) END AS skew",
-        f"CASE WHEN {uneven} THEN p4 * count / (p2 * p2) - 3 END AS kurt",
-        "CASE WHEN count > 1 THEN sqrt(p2 / (count - 1)) END AS std",
-        "max",
-        "min",
+    return (
+        placed.groupBy(*keys)
+        .agg(
+            F.expr("max(n_total) AS count"),
+            F.expr("max(units_total) AS sum"),
+            F.max("value").alias("max"),
+            F.min("value").alias("min"),
+            *[F.expr(p) for p in powers],
+            F.expr("(max(n_low) + max(n_high)) / 2 AS median"),
+        )
+        .selectExpr(
+            *keys,
+            "sum",
+            "sum / count AS mean",
+            f"CASE WHEN {uneven} THEN p3 / count / pow(p2 / count, 1.5) END AS skew",
+            f"CASE WHEN {uneven} THEN p4 * count / (p2 * p2) - 3 END AS kurt",
+            "CASE WHEN count > 1 THEN sqrt(p2 / (count - 1)) END AS std",
+            "max",
+            "min",
+            "median",
+        )
     )
 
 
@@ -155,18 +147,15 @@ def quantity_by_key(counted, naming):
     """Quantity statistics at goods, variant and (goods, variant) level, from value_counts().
 
     Returns one DataFrame per key of THREE_KEYS. naming(statistic, key index) gives the column
-    name. All three keys share the counts, the moments and one ordered step for the medians.
+    name. The rows of a key are ordered once, for the median and the moments together.
     """
-    counts = stage(_level_counts(counted), "levels")
-    medians = exact_medians(counts, _LEVEL, ["n"], many_values(counts, "value"))
-    stats = _weighted_moments(counts).join(medians.withColumnRenamed("n", "median"), _LEVEL, "left")
-    blocks = []
-    for i, key in enumerate(THREE_KEYS):
-        keys = [F.col("k_goods").alias("goods_id")] if "goods_id" in key else []
-        keys += [F.col("k_sku").alias("sku_id")] if "sku_id" in key else []
-        names = [F.col(s).alias(naming(s, i)) for s in FULL_ORDER]
-        blocks.append(stats.filter(F.col("level") == i).select("window_id", *keys, *names))
-    return blocks
+    sliced = many_values(counted, "value")
+    return [
+        _quantities(counted, key, sliced).select(
+            "window_id", *key, *[F.col(s).alias(naming(s, i)) for s in FULL_ORDER]
+        )
+        for i, key in enumerate(THREE_KEYS)
+    ]
 
 
 def history_name(stat, key_index):

@@ -285,3 +285,27 @@ def test_nth_largest_days(spark):
         "window_id int, sku_id long, data_date int, goods_num double",
     )
     assert rows(st.nth_largest_days(df, (1, 2, 3)), "sku_id") == [(0, 1, 5.0, 4.0, -999.0)]
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 2])
+def test_quantities_at_three_keys_are_ordered_once(spark, monkeypatch, limit):
+    monkeypatch.setattr(ordered, "MAX_GROUP_ROWS", limit)
+    values = [1.0, 1.0, 2.0, 5.0, 5.0, 9.0, 4.0, None]
+    rows_in = [(w, g, 10 * g + k % 3, v) for w in (0, 1) for g in (1, 2) for k, v in enumerate(values[: 6 + g])]
+    rows_in += [(0, None, 31, 3.0), (0, 4, None, 6.0), (1, 5, 51, 7.0), (1, 5, 51, None)]
+    names = ["window_id", "goods_id", "sku_id", "goods_num"]
+    pdf = pd.DataFrame(rows_in, columns=names)
+    df = spark.createDataFrame(rows_in, "window_id int, goods_id long, sku_id long, goods_num double")
+    blocks = st.quantity_by_key(st.value_counts(df.repartition(3)), lambda stat, key: stat)
+    for key, block in zip(st.THREE_KEYS, blocks):
+        keys = ["window_id", *key]
+        got = block.toPandas().set_index(keys).sort_index()
+        groups = pdf.dropna(subset=["goods_num", *key]).groupby(keys)["goods_num"]
+        want = groups.agg(["sum", "mean", "std", "max", "min", "median"]).sort_index()
+        pd.testing.assert_frame_equal(got[list(want)], want, check_index_type=False)
+        away = groups.apply(lambda x: ((x - x.mean()) ** 3).mean() / ((x - x.mean()) ** 2).mean() ** 1.5)
+        np.testing.assert_allclose(got["skew"].astype(float), away.sort_index().astype(float))
+        if limit > 2:
+            plan = block._jdf.queryExecution().executedPlan().toString()
+            plan = plan.split("== Initial Plan")[0]
+            assert plan.count("Exchange") <= 2 and "Join" not in plan
