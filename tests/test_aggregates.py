@@ -4,7 +4,7 @@ import pytest
 from support import rows
 from pyspark.sql import functions as F
 
-from shelfcast.operators import ordered, ranks
+from shelfcast.operators import ordered, ranks, segments, spans
 from shelfcast.operators import statistics as st
 from shelfcast.operators.ordered import exact_medians, running_counts
 from shelfcast.operators.ranks import RankSpec, fuse_ranks, rank_columns
@@ -309,3 +309,24 @@ def test_quantities_at_three_keys_are_ordered_once(spark, monkeypatch, limit):
             plan = block._jdf.queryExecution().executedPlan().toString()
             plan = plan.split("== Initial Plan")[0]
             assert plan.count("Exchange") <= 2 and "Join" not in plan
+
+
+@pytest.mark.parametrize("windows", [TWO, TWO[:1]])
+def test_medians_of_one_column_share_an_ordered_step(skewed, monkeypatch, windows):
+    steps = []
+
+    def counting(counts, group, names, *rest):
+        steps.append(list(names))
+        return exact_medians(counts, group, names, *rest)
+
+    for module in (segments, spans):
+        monkeypatch.setattr(module, "exact_medians", counting)
+    measures = [
+        Measure("goods_num", ("median",), (3, 14)),
+        Measure("goods_num", total=("median", "count"), total_name="whole_{stat}"),
+    ]
+    facts = WindowedFacts.of(skewed[0], windows)
+    got = facts.stats("sku_id", measures).toPandas().set_index(["window_id", "sku_id"]).sort_index()
+    assert len(steps) == 1
+    want = facts.tagged().toPandas().groupby(["window_id", "sku_id"])["goods_num"].median()
+    np.testing.assert_allclose(got["whole_median"], want.sort_index())
