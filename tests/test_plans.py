@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from shelfcast.catalog.queries import PLAIN
 from shelfcast.operators import ordered, ranks, statistics
 from shelfcast.operators.lookups import attach_by_goods
+from shelfcast.plans import features
 from shelfcast.sources import staging
 from shelfcast.sources import testdata as td
 
@@ -93,3 +94,18 @@ def test_statistics_at_three_keys_scan_the_sales_few_times(spark, monkeypatch, n
     df = PLAIN[name](spark, FOLDER)
     scans.append(plan_of(df).split("== Initial Plan")[0].count("lineitem.parquet"))
     assert 0 < sum(scans) <= most
+
+
+def test_granular_behaviour_is_not_sorted_per_variant(spark, monkeypatch):
+    """Ranks and attributes are found on narrow rows; the behaviour columns are joined last."""
+    ranked = []
+    real = features.rank_columns
+
+    def watching(df, *rest):
+        ranked.append(df.columns)
+        return real(df, *rest)
+
+    monkeypatch.setattr(features, "rank_columns", watching)
+    df = PLAIN["features_granularity"](spark, FOLDER)
+    assert len(df.columns) > 100 and len(ranked) == 1
+    assert len(ranked[0]) < 20 and "brand_id" in ranked[0]
