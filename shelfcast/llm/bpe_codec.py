@@ -17,9 +17,10 @@ from shelfcast.llm.bpe_rules import read_tokenizer, rules_of
 from shelfcast.llm.common import arrow_type, record_batch, ship, slices, texts
 from shelfcast.llm.pieces import PieceValues
 
-# Pieces a worker remembers, a bound of its memory (about 100 MB); results don't depend on it.
-CACHE_PIECES = 400_000
-SLICE_BYTES = 1 << 20
+# Pieces a worker remembers, a bound of its memory (about 50 MB); results don't depend on it.
+CACHE_PIECES = 200_000
+# Arrays of a slice take some hundred bytes per byte of text.
+SLICE_BYTES = 1 << 19
 
 
 class PrefixEncoder:

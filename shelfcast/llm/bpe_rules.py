@@ -56,7 +56,7 @@ class BpeRules:
         for token in sorted(ids.values(), key=lambda t: self.built[t]):
             if self._encodes_to_itself(token):
                 self.whole[self.token_bytes[token]] = token
-        self.compatible = lru_cache(1 << 20)(self._compatible)
+        self.compatible = lru_cache(1 << 17)(self._compatible)
         marks = "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
         self.marks = regex.compile(f"({marks})") if marks else None
 

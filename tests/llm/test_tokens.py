@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 
 from shelfcast.llm.bpe_codec import PrefixEncoder, encode_documents, round_trip
 from shelfcast.llm.bpe_rules import BpeRules, read_tokenizer
+from shelfcast.llm.pieces import DIGIT, EDGE, EDGE_MARK, LETTER, OTHER, SPACE, class_table
 from shelfcast.llm.token_counts import ChunkMaps, Symbols, TokenCounter, count_tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -179,3 +181,14 @@ def test_awkward_rows(spark, library):
 def test_empty_tables(spark):
     assert round_trip(empty(spark), PATH).count() == 0
     assert count_tokens(empty(spark), PATH).count() == 0
+
+
+def test_classes_of_characters_are_found_in_little_memory():
+    tracemalloc.start()
+    table = class_table.__wrapped__()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * len(table)
+    for char, kind in (("a", LETTER), ("漢", LETTER), ("²", DIGIT), ("\x85", SPACE), ("\u3000", SPACE), ("😀", OTHER)):
+        assert table[ord(char)] == kind
+    assert (table[0xD800:0xE000] == OTHER).all() and table[EDGE_MARK] == EDGE
