@@ -5,8 +5,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
+from shelfcast.catalog import queries
 from shelfcast.functions.numeric import WEEKS
-from shelfcast.plans import models
+from shelfcast.plans import boosting, models
 from shelfcast.plans.boosting import fit_boosted
 from shelfcast.plans.linear import fit_linear
 from shelfcast.plans.presets import PRESETS, Boosting
@@ -203,3 +204,36 @@ def test_presets_are_complete():
         if preset.pairs and not preset.model.startswith("day"):
             windows, test = preset.windows()
             assert len(windows) == len(preset.pairs) and test.label is None
+
+
+def test_the_week_forecast_grows_all_published_trees(monkeypatch):
+    published = PRESETS["boosted_sales_only"].boosting
+    used = []
+    monkeypatch.setattr(queries, "_joint", lambda *_: (None, None))
+    monkeypatch.setattr(models, "boosted_weeks", lambda train, test, boosting: used.append(boosting))
+    queries.gbt_week_forecast(None, None)
+    assert used == [published]
+    assert (published.rounds, published.leaves, published.depth) == (2500, 127, 7)
+
+
+@pytest.mark.parametrize("share", [1.0, 0.7])
+def test_trees_of_a_task_equal_those_of_passes(spark, noisy, monkeypatch, share):
+    """Thousands of trees over a small table need no job each."""
+    params = Boosting(0.3, 4, 18, leaves=6, min_child=4, l1=0.5, row_share=share, column_share=share)
+    df = spark.createDataFrame(noisy).repartition(3)
+    groups = [["week1", "week2"], ["week3"]]
+    passes = []
+    real = boosting._histograms
+    monkeypatch.setattr(boosting, "_histograms", lambda *a: passes.append(1) or real(*a))
+    held = fit_boosted(df, list("abc"), groups, params)
+    assert not passes
+    monkeypatch.setattr(boosting, "HELD_BYTES", 0)
+    passed = fit_boosted(df, list("abc"), groups, params)
+    assert len(passes) >= 18
+    for one, other in zip(held.trees, passed.trees):
+        assert len(one) == len(other) == 18
+        for a, b in zip(one, other):
+            assert (a.feature, a.cut, a.left, a.right) == (b.feature, b.cut, b.left, b.right)
+            np.testing.assert_allclose(a.value, b.value, rtol=1e-9, atol=1e-12)
+    np.testing.assert_allclose(held.gains, passed.gains, rtol=1e-9)
+    assert held.predict(df.limit(0), ["a"], 0.0).count() == 0
