@@ -1,5 +1,7 @@
 """Day skeletons (variant x day) and calendar columns."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import parse, shift, to_day, weekday
@@ -90,19 +92,16 @@ def calendar_features(rows, windows, marketing=None, holiday=None, weather=None,
     )
     lo = min(w.label[0] for w in windows)
     hi = max(shift(w.label[0], SKELETON_DAYS - 1) for w in windows)
-    if marketing is not None:
-        plan = marketing.select("data_date", "marketing", "plan")
-        result = _join_calendar(result, plan, lo, hi, windows)
-    if holiday is not None and dedupe:
-        result = _join_calendar(result, one_per_date(holiday), lo, hi, windows)
-    elif holiday is not None:
-        result = result.join(
-            date_range(holiday.select("data_date", "holiday_code"), lo, hi), "data_date", "left"
-        )
-    if weather is not None:
-        measured = weather.select("data_date", *WEATHER_COLUMNS)
-        result = _join_calendar(result, measured, lo, hi, windows)
-    return result
+    plan = None if marketing is None else marketing.select("data_date", "marketing", "plan")
+    measured = None if weather is None else weather.select("data_date", *WEATHER_COLUMNS)
+    if holiday is None or dedupe:
+        single = None if holiday is None else one_per_date(holiday)
+        return _join_calendars(result, [plan, single, measured], lo, hi, windows)
+    result = _join_calendars(result, [plan], lo, hi, windows)
+    result = result.join(
+        date_range(holiday.select("data_date", "holiday_code"), lo, hi), "data_date", "left"
+    )
+    return _join_calendars(result, [measured], lo, hi, windows)
 
 
 def _first_per_date(calendar):
@@ -112,7 +111,11 @@ def _first_per_date(calendar):
     return first.select("data_date", "first.*")
 
 
-def _join_calendar(rows, calendar, lo, hi, windows):
-    # One row per date, so that the days of the windows bound what is broadcast.
-    cut = _first_per_date(date_range(calendar, lo, hi))
-    return rows.join(small_calendar(cut, windows, "label"), "data_date", "left")
+def _join_calendars(rows, calendars, lo, hi, windows):
+    # One row per date, so that the days of the windows bound what is broadcast. Rows of any number meet
+    # all calendars in one join.
+    cuts = [_first_per_date(date_range(c, lo, hi)) for c in calendars if c is not None]
+    if not cuts:
+        return rows
+    whole = reduce(lambda a, b: a.join(b, "data_date", "full"), cuts)
+    return rows.join(small_calendar(whole, windows, "label"), "data_date", "left")

@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.catalog.queries import PLAIN
-from shelfcast.operators import ordered, ranks, statistics
+from shelfcast.catalog.queries import PLAIN, QUERIES
+from shelfcast.operators import ordered, ranks, spans, statistics
 from shelfcast.operators.lookups import attach_by_goods
 from shelfcast.plans import features
 from shelfcast.sources import staging
@@ -109,3 +109,55 @@ def test_granular_behaviour_is_not_sorted_per_variant(spark, monkeypatch):
     df = PLAIN["features_granularity"](spark, FOLDER)
     assert len(df.columns) > 100 and len(ranked) == 1
     assert len(ranked[0]) < 20 and "brand_id" in ranked[0]
+
+
+def test_inputs_of_a_day_are_computed_before_days_repeat(spark):
+    """Above the explosion to days are one join with the calendars and the snap of the units."""
+    name = "spark.sql.debug.maxToStringFields"
+    spark.conf.set(name, "1000")
+    try:
+        df = QUERIES["features_day_level"](spark, FOLDER)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset(name)
+    above = plan[: plan.index("Generate explode(CASE WHEN")]
+    assert above.count("Join ") == 1
+    assert "FLOOR(" in above and above.count("FLOOR(") <= 2
+
+
+def test_no_method_is_longer_than_the_jvm_compiles(spark):
+    """Sessions of other origins, too, run no generated method that stays interpreted."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.unset(name)
+    try:
+        QUERIES["sku_universe"](spark, FOLDER)
+        assert int(spark.conf.get(name)) <= 8000
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_rows_before_the_longest_span_are_not_ordered_for_medians(spark, monkeypatch):
+    facts = spark.sql(
+        "SELECT 0 AS window_id, id % 3 AS sku_id, int(20170101 + id % 20) AS data_date,"
+        " double(id) AS v FROM range(600)"
+    )
+    ordered_rows = []
+    real = spans.exact_medians
+
+    def watching(counts, *rest):
+        ordered_rows.append(counts.count())
+        return real(counts, *rest)
+
+    monkeypatch.setattr(spans, "exact_medians", watching)
+    since = {2: "20170119", 5: "20170116"}.get
+    slide = spans.Measure("v", ("sum", "median"), (2, 5))
+    got = spans.span_stats(facts, ["window_id", "sku_id"], [slide], since)
+    want = facts.groupBy("sku_id").agg(
+        *[F.expr(f"median(v) FILTER (WHERE data_date >= {since(i)}) AS v_median_slide_{i}") for i in (2, 5)]
+    )
+    names = ["sku_id", "v_median_slide_2", "v_median_slide_5"]
+    assert sorted(got.select(names).collect()) == sorted(want.select(names).collect())
+    whole = spans.Measure("v", ("sum", "median"), (2,), ("median",))
+    spans.span_stats(facts, ["window_id", "sku_id"], [whole], since)
+    assert ordered_rows == [150, 600]
