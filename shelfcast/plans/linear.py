@@ -95,13 +95,33 @@ def minimum_norm(gram, right, spreads, tolerance=TOLERANCE):
     basis = vectors[:, kept]
     solution = (basis @ ((basis.T @ right) / values[kept][:, None])) / spreads[:, None]
     # Moving along a direction without spread changes no forecast; take off what lies in them.
-    null = vectors[:, ~kept] / spreads[:, None]
+    null = vectors[:, ~kept]
     if null.shape[1]:
-        orthogonal, _ = np.linalg.qr(null)
+        orthogonal, _ = np.linalg.qr(_in_own_units(null, spreads))
         solution -= orthogonal @ (orthogonal.T @ solution)
     return solution
 
 
+def _in_own_units(null, spreads):
+    """A basis of the directions without spread, from one of the standardised columns.
+
+    Every direction has its own column, of small spread where possible, in which no other one moves: what
+    rounding leaves of the others there would grow with the ratio of the spreads.
+    """
+    chosen, rest = [], null.copy()
+    for k in np.argsort(spreads, kind="stable"):
+        size = np.linalg.norm(rest[k])
+        if size > 1e-6 and len(chosen) < null.shape[1]:
+            chosen.append(k)
+            unit = rest[k] / size
+            rest -= np.outer(rest @ unit, unit)
+    if len(chosen) < null.shape[1]:
+        return null / spreads[:, None]
+    null = null @ np.linalg.inv(null[chosen])
+    null[chosen] = np.eye(len(chosen))
+    return null * spreads[chosen] / spreads[:, None]
+
+
 def fit_linear(train, columns, labels, fill):
     """Least squares of every label on the columns, with intercepts.
 

@@ -161,3 +161,36 @@ def test_rows_before_the_longest_span_are_not_ordered_for_medians(spark, monkeyp
     whole = spans.Measure("v", ("sum", "median"), (2,), ("median",))
     spans.span_stats(facts, ["window_id", "sku_id"], [whole], since)
     assert ordered_rows == [150, 600]
+
+
+def test_medians_of_short_groups_are_not_sliced(spark, monkeypatch):
+    """Many distinct values in the table are no reason to cut groups that a task holds easily."""
+    facts = spark.sql("SELECT 0 AS window_id, id % 40 AS sku_id, double(id) AS v FROM range(2000)")
+    monkeypatch.setattr(ordered, "MAX_GROUP_ROWS", 100)
+    asked = []
+    real = spans.exact_medians
+    monkeypatch.setattr(spans, "exact_medians", lambda *a: asked.append(a[3]) or real(*a))
+    measure = spans.Measure("v", total=("sum", "median"))
+    got = spans.span_stats(facts, ["window_id", "sku_id"], [measure])
+    long = facts.withColumn("sku_id", F.col("sku_id") % 2)
+    sliced = spans.span_stats(long, ["window_id", "sku_id"], [measure])
+    assert asked == [False, True]
+    for found, df in ((got, facts), (sliced, long)):
+        want = df.groupBy("sku_id").agg(F.median("v"))
+        assert sorted(found.select("sku_id", "v_median").collect()) == sorted(want.collect())
+
+
+@pytest.mark.parametrize("few", [0, 12])
+def test_few_ranks_need_no_lists_per_variant(spark, monkeypatch, few):
+    table = spark.sql(
+        "SELECT 0 AS window_id, id AS sku_id, double(id % 37) AS a, if(id % 5 = 0, null, double(id % 11)) AS b"
+        " FROM range(400)"
+    )
+    monkeypatch.setattr(ranks, "HELD_SHARE", 0)
+    monkeypatch.setattr(ranks, "FEW_RANKS", few)
+    specs = [ranks.RankSpec("a", "ra"), ranks.RankSpec("b", "rb", "min", False)]
+    df = ranks.rank_columns(table, specs, by_value=True)
+    assert ("collect_list" in plan_of(df)) == (few == 0)
+    got = df.toPandas().sort_values("sku_id").reset_index()
+    assert (got.ra == got.a.rank()).all()
+    assert got.rb.equals(got.b.rank(method="min", ascending=False))
