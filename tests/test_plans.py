@@ -194,3 +194,5 @@ def test_few_ranks_need_no_lists_per_variant(spark, monkeypatch, few):
     got = df.toPandas().sort_values("sku_id").reset_index()
     assert (got.ra == got.a.rank()).all()
     assert got.rb.equals(got.b.rank(method="min", ascending=False))
+    with pytest.raises(Exception, match="several rows|DUPLICATED_MAP_KEY"):
+        ranks.rank_columns(table.union(table), specs, by_value=True).toPandas()
